@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import slices
 
 #: Entries of the caches of a worker; a full cache is emptied.
-CACHE_PIECES = 250_000
-CACHE_WORDS = 400_000
+CACHE_PIECES = 100_000
+CACHE_WORDS = 200_000
 NONE = np.int64(1 << 40)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,9 +37,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def trim() -> None:
+    """Give back what a Python worker has freed: Arrow's pool, and the C library's where it can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that ``column`` holds about ``most`` bytes at a time (one row at least)."""
     for batch in batches:
+        trim()
         texts = batch.column(batch.schema.get_field_index(column))
         if texts.nbytes <= most:
             if batch.num_rows:
@@ -50,3 +60,5 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20)
                 at, taken = i, 0
             taken += n
         yield batch.slice(at)
+        del batch, texts
+    trim()

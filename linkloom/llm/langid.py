@@ -79,7 +79,7 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS, max_languages: int = MAX_
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             names = batch.column(0).to_pylist()
             points, ends = lowered(batch.column(1).to_pylist())
             at, bucket, _ = grams(points)
@@ -178,7 +178,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table = shared.value
         names = np.array([*langs, UNKNOWN], object)
-        for batch in slices(batches, "__text", 2 << 20):
+        for batch in slices(batches, "__text", 1 << 20):
             picked, shares = infer(batch.column(len(carry)).to_pylist(), table)
             yield pa.RecordBatch.from_arrays(
                 [
