@@ -6,9 +6,9 @@ climbing, and a chain of n turns takes log2(n) rounds. The leaves of a tree are
 path; the paths of the chosen ones are unfolded over the same tables, largest step first, which meets every
 ancestor exactly once. Only ids take part; texts join once, at the end, and are formatted as a sorted stream.
 
-The template marks each turn as ``### role: text </turn>`` and a newline. In texts and roles a backslash goes
-ahead of every backslash, ``#`` and ``<``, and in roles also of ``:``; so neither mark can occur in
-them, and removing the backslashes restores them. The loss mask is the span of each assistant's text.
+The template marks each turn as ``### role: text </turn>`` and a newline. In texts and roles a backslash, ``#``
+and ``<``, and in roles also ``:``, are written as a backslash and a letter (or a second backslash); so no mark can
+occur in them, and the reverse restores them. The loss mask is the span of each assistant's text.
 
 Edge cases: null texts and roles are empty; null scores count 0; a parent that isn't there makes a root; nodes on
 a cycle have no root and are on no path; equal paths' scores rank by leaf id; turns of a conversation with equal
@@ -30,15 +30,18 @@ from linkloom.llm.common import slices, written
 #: Fixed values of the template.
 OPEN, MIDDLE, CLOSE = "### ", ": ", " </turn>\n"
 ASSISTANT = "assistant"
+#: What stands, after a backslash, for a character that could begin or end a mark.
+CODES = {"\\": "\\", "#": "h", "<": "l", ":": "c"}
+PLAIN = {v: k for k, v in CODES.items()}
 TURN = re.compile(r"### ((?:[^\\:#<]|\\.)*): ((?:[^\\#<]|\\.)*) </turn>\n", re.DOTALL)
 
 
 def escape(text: str, more: str = "") -> str:
-    return re.sub(rf"[\\#<{more}]", r"\\\g<0>", text)
+    return re.sub(rf"[\\#<{more}]", lambda m: "\\" + CODES[m[0]], text)
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
+    return re.sub(r"\\(.)", lambda m: PLAIN[m[1]], text)
 
 
 # --- paths ------------------------------------------------------------------------------------------
@@ -50,7 +53,7 @@ def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     ``nodes``: tree, node, parent, score, with unique (tree, node).
     """
     ids = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    own = nodes.join(ids, (nodes["tree"] == ids["t"]) & (nodes["parent"] == ids["n"]) & (nodes["parent"] != nodes["node"]), "left")
+    own = nodes.join(ids, nodes["tree"].eqNullSafe(ids["t"]) & (nodes["parent"] == ids["n"]) & (nodes["parent"] != nodes["node"]), "left")
     own = own.select("tree", "node", F.col("n").alias("up"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     # score: of the node and its next 2**i - 1 ancestors; steps: how far ``up`` is
     going = written(own.withColumn("steps", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long")), "step0")
@@ -62,7 +65,7 @@ def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         rounds.append(open_.select("tree", "node", "up"))
         # one step further: from the ancestor on; nodes that are through give what they have
         ahead = going.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("score").alias("more"), F.col("steps").alias("steps2"))
-        far = open_.join(ahead, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n")))
+        far = open_.join(ahead, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
         far = far.select("tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("more")).alias("score"), (F.col("steps") + F.col("steps2")).alias("steps"))
         far = written(far, f"step{len(rounds)}")
         done = done.unionByName(far.where("up IS NULL").select("tree", "node", F.col("steps").alias("depth"), "score"))
@@ -78,7 +81,7 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
     """
     rounds, depths = climb(nodes)
     parents = nodes.where("parent IS NOT NULL AND parent <> node").select(F.col("tree").alias("t"), F.col("parent").alias("n")).distinct()
-    leaves = depths.join(parents, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
+    leaves = depths.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
     leaves = leaves.withColumn("branch", F.row_number().over(order))
     if top is not None:
@@ -86,7 +89,7 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
     found = leaves.select("tree", "branch", F.col("node").alias("leaf"), "node", "depth")
     for i in range(len(rounds) - 1, -1, -1):
         up = rounds[i].select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
-        further = found.join(up, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")))
+        further = found.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
         further = further.select("tree", "branch", "leaf", F.col("up").alias("node"), (F.col("depth") - (1 << i)).alias("depth"))
         found = written(found.unionByName(further), f"path{i}")
     return found
@@ -102,7 +105,7 @@ def formatted(nodes: DataFrame, top: int | None = None) -> DataFrame:
     """
     chosen = paths(nodes.select("tree", "node", "parent", "score"), top)
     said = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
-    rows = chosen.join(said, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")))
+    rows = chosen.join(said, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
     rows = rows.select("tree", "branch", "depth", "role", "text").repartition("tree", "branch").sortWithinPartitions("tree", "branch", "depth")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
