@@ -42,20 +42,25 @@ def several() -> dict[str, str]:
     return {a: b for a, b in SPECIAL.items() if len(b) > 1}
 
 
+def _character(c: str) -> str:
+    name = unicodedata.name(c, "")
+    if c.isascii():
+        return c
+    if c in SPECIAL:
+        return SPECIAL[c]
+    if name.startswith("CJK UNIFIED"):
+        return f" u{ord(c):x} "
+    if m := re.search(r"(?:LETTER|SYLLABLE|VOWEL SIGN|DIGIT)(?: SMALL| CAPITAL)? (.+)", name):
+        return m[1].split(" ")[-1].lower()
+    return " "
+
+
 def romanise(text: str) -> str:
     """ASCII for any text."""
     out = []
-    for c in without_marks(unicodedata.normalize("NFKC", text)):
-        if c.isascii():
-            out.append(c)
-        elif c in SPECIAL:
-            out.append(SPECIAL[c])
-        elif re.match(r"CJK UNIFIED|HANGUL SYLLABLE", name := unicodedata.name(c, "")):
-            out.append(name.rsplit(" ", 1)[-1].lower() if name.startswith("HANGUL") else f" u{ord(c):x} ")
-        elif m := re.search(r"(?:LETTER|SYLLABLE|VOWEL SIGN|DIGIT)(?: SMALL| CAPITAL)? (.+)", name):
-            out.append(m[1].split(" ")[-1].lower())
-        else:
-            out.append(" ")
+    for c in unicodedata.normalize("NFKC", text):
+        hangul = unicodedata.name(c, "").startswith("HANGUL SYLLABLE")
+        out += [_character(x) for x in (c if hangul else without_marks(c))]
     return "".join(out)
 
 

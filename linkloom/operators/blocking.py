@@ -34,7 +34,7 @@ def _cut(others: DataFrame, most: int | None) -> DataFrame:
     if not most:
         return others
     order = Window.partitionBy("country_norm", "source_tag", "key").orderBy("other_entity_id")
-    return others.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).drop("n")
+    return others.withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= most).drop("n")
 
 
 class KeyBlocking:
@@ -46,9 +46,13 @@ class KeyBlocking:
     def sides(self, s1: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
         return _keyed(s1, self.key(), self.least, "source1_entity_id"), _keyed(others, self.key(), self.least, "other_entity_id", "source_tag")
 
-    def __call__(self, s1: DataFrame, others: DataFrame, most: int | None = None) -> DataFrame:
+    def pairs(self, s1: DataFrame, others: DataFrame, most: int | None = None) -> DataFrame:
+        """The pairs of every block; a pair may occur more than once."""
         a, b = self.sides(s1, others)
-        return a.join(_cut(b, most), ["country_norm", "key"]).select(*PAIR, F.lit(0).alias("in_rank")).distinct()
+        return a.join(_cut(b, most), ["country_norm", "key"]).select(*PAIR, F.lit(0).alias("in_rank"))
+
+    def __call__(self, s1: DataFrame, others: DataFrame) -> DataFrame:
+        return self.pairs(s1, others).distinct()
 
     def counts(self, s1: DataFrame, others: DataFrame) -> DataFrame:
         """source_tag, n_pairs: how many pairs there are, from the blocks' sizes alone."""
@@ -87,9 +91,12 @@ class Nearest:
     def __init__(self, name: str, join: Callable[[DataFrame, DataFrame], DataFrame]):
         self.name, self.join = name, join
 
-    def __call__(self, s1: DataFrame, others: DataFrame, most: int | None = None) -> DataFrame:
+    def pairs(self, s1: DataFrame, others: DataFrame, most: int | None = None) -> DataFrame:
         return self.join(s1, others).select(*PAIR, F.col("rank").alias("in_rank"))
 
+    def __call__(self, s1: DataFrame, others: DataFrame) -> DataFrame:
+        return self.pairs(s1, others)
+
     def counts(self, s1: DataFrame, others: DataFrame) -> DataFrame:
         return self(s1, others).groupBy("source_tag").agg(F.count("*").alias("n_pairs"))
 
@@ -112,9 +119,9 @@ def strategies(cfg: Blocking) -> list:
     return found
 
 
-def union(found: list, s1: DataFrame, others: DataFrame, most: int | None = None) -> DataFrame:
-    """All strategies' pairs with strategy_name and strategy_rank."""
-    parts = [f(s1, others, most).withColumns({"strategy_name": F.lit(f.name), "strategy_rank": F.lit(i)}) for i, f in enumerate(found)]
+def union(found: list, s1: DataFrame, others: DataFrame, cut: bool = False, most: int | None = None) -> DataFrame:
+    """All strategies' pairs with strategy_name and strategy_rank; ``cut``: of cut blocks, repeated pairs left in."""
+    parts = [(f.pairs(s1, others, most) if cut else f(s1, others)).withColumns({"strategy_name": F.lit(f.name), "strategy_rank": F.lit(i)}) for i, f in enumerate(found)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -142,7 +149,7 @@ def capped_union(cfg: Blocking, s1: DataFrame, others: DataFrame) -> DataFrame:
     """The candidates: union, one row per pair, capped."""
     most = cfg.candidate_cap if cfg.candidate_cap > 0 else None
     limits = [n for n in (most, cfg.max_block_size) if n and n > 0]
-    return cap(first_strategy(union(strategies(cfg), s1, others, min(limits) if limits else None)), cfg.candidate_cap)
+    return cap(first_strategy(union(strategies(cfg), s1, others, True, min(limits) if limits else None)), cfg.candidate_cap)
 
 
 def unseen_countries(s1: DataFrame, others: DataFrame) -> DataFrame:

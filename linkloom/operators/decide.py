@@ -120,7 +120,7 @@ def assemble(entities: DataFrame, scored: DataFrame, thresholds: DataFrame | Non
 
 def exploded(results: DataFrame, column: str = "matched_entity_ids") -> DataFrame:
     """source1_entity_id, other_entity_id of comma-joined lists; blanks are dropped."""
-    parts = F.filter(F.transform(F.split(column, ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(column, ","), lambda x: F.trim(x)), lambda x: x != "")
     return results.select("source1_entity_id", F.explode(parts).alias("other_entity_id")).distinct()
 
 

@@ -349,7 +349,7 @@ GRIDS = f"""{SCORED}, grid AS (SELECT unnest(range(0, {len(GRID)})) AS gi, unnes
 tt AS (SELECT source1_entity_id, count(DISTINCT source_id) AS n_true FROM truth GROUP BY ALL),
 pr AS (SELECT gi, p.source1_entity_id, count(*) AS n_pred, count(t.source_id) AS tp FROM grid JOIN scored p ON p.score >= threshold
        LEFT JOIN truth t ON p.source1_entity_id = t.source1_entity_id AND p.other_entity_id = t.source_id GROUP BY ALL),
-ct AS (SELECT gi, threshold, s1.entity_id, s1.country_norm, coalesce(tp, 0) AS tp, coalesce(n_pred, 0) AS n_pred, coalesce(n_true, 0) AS n_true
+ct AS (SELECT grid.gi AS gi, threshold, s1.entity_id, s1.country_norm, coalesce(tp, 0) AS tp, coalesce(n_pred, 0) AS n_pred, coalesce(n_true, 0) AS n_true
        FROM s1 CROSS JOIN grid LEFT JOIN pr ON pr.gi = grid.gi AND pr.source1_entity_id = s1.entity_id LEFT JOIN tt ON tt.source1_entity_id = s1.entity_id),
 f5 AS (SELECT *, CASE WHEN n_pred = 0 AND n_true = 0 THEN 1.0::DOUBLE WHEN tp = 0 THEN 0.0::DOUBLE
    ELSE 1.25 * (tp::DOUBLE / n_pred) * (tp::DOUBLE / n_true) / (0.25 * (tp::DOUBLE / n_pred) + tp::DOUBLE / n_true) END AS f FROM ct)"""
