@@ -163,8 +163,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
                 ["query_id", "vec_id", "score"],
             )
 
-    parts = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    met = met.select("qids", "qs", "ids", "vectors", "nodes", "points").repartition(parts)
+    # a tree is shuffled once, to the task that all blocks for its shard come to
+    met = met.select("qids", "qs", "ids", "vectors", "nodes", "points")
     near = met.mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
