@@ -167,12 +167,15 @@ def read_back(rows: DataFrame) -> DataFrame:
 
 
 def as_trees(conversations: DataFrame) -> DataFrame:
-    """Conversations (conv_id, turn, role, text) as reply trees: each turn replies to the one before."""
+    """Conversations (conv_id, turn, role, text) as reply trees: each turn replies to the one before.
+
+    A written table, as paths read its ids several times and ordering turns shuffles their texts.
+    """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
     rows = rows.withColumn("node", F.row_number().over(order).cast("long"))
     parent = F.when(F.col("node") > 1, F.col("node") - 1)
-    return rows.select(F.col("conv_id").alias("tree"), "node", parent.alias("parent"), F.lit(1.0).alias("score"), "role", "text")
+    return written(rows.select(F.col("conv_id").alias("tree"), "node", parent.alias("parent"), F.lit(1.0).alias("score"), "role", "text"), "nodes")
 
 
 #: The same in DuckDB, from the turns themselves.
