@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,3 +85,6 @@ def write_tsv(df: DataFrame, path: str, delimiter: str = "\t") -> None:
     store.delete(target, False)
     store.rename(found, target)
     store.delete(folder, True)
+    if store.getScheme() == "file":  # else the checksum would forbid later edits of the file
+        plain = Path(target.toUri().getPath())
+        (plain.parent / f".{plain.name}.crc").unlink(missing_ok=True)
