@@ -16,16 +16,19 @@ gives no rows.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import slices
 
 SIZE = 128
+#: Buckets of the doc_id order for each shuffle partition.
+BUCKETS = 6
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = {True: np.ones(1, np.uint64), False: np.ones(1, np.uint64)}
@@ -114,34 +117,36 @@ class Document:
         return self.text[: self.cut] + tail, signature(points, self.ends + more)
 
 
+def longs(values: list[int | None]) -> Column:
+    """An array of numbers as one constant, however many they are."""
+    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+
+
 def with_buckets(docs: DataFrame, parts: int) -> DataFrame:
     """__b, __halo, doc_id, text: each row in its bucket of the doc_id order, and the first of a bucket in the one before too.
 
     The bounds are at most ``parts`` quantiles; the firsts are one row per bucket.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    probs = F.array(*[F.lit(i / parts) for i in range(1, parts)]) if parts > 1 else None
-    found = rows.agg(F.percentile_approx("doc_id", probs, 10 * parts).alias("q")).first()["q"] if probs is not None else None
+    probs = [i / parts for i in range(1, parts)]
+    found = rows.agg(F.percentile_approx("doc_id", probs, 10 * parts).alias("q")).first()["q"] if probs else None
     bounds = sorted(set(found or []))
     step = max(1, int(len(bounds) ** 0.5))
-    coarse = bounds[::step]
-    lit = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs]) if xs else F.array().cast("array<long>")
     below = lambda xs: F.size(F.filter(xs, lambda b: b <= F.col("doc_id")))
-    group = F.greatest(below(lit(coarse)) - 1, F.lit(0))
-    at = group * step + below(F.slice(lit(bounds), group * step + 1, F.lit(step)))
-    rows = rows.withColumn("__b", F.when(F.col("doc_id").isNull(), len(bounds) + 1).otherwise(at).cast("int"))
+    group = F.greatest(below(longs(bounds[::step])) - 1, F.lit(0))
+    at = group * step + below(F.slice(longs(bounds), group * step + 1, F.lit(step)))
+    last = len(bounds) + 1  # of the rows without an id
+    rows = rows.withColumn("__b", F.when(F.col("doc_id").isNull(), last).otherwise(at).cast("int"))
     firsts = {r["__b"]: r["first"] for r in rows.groupBy("__b").agg(F.min("doc_id").alias("first")).collect()}
     order = sorted(firsts)
     before = {b: order[i - 1] for i, b in enumerate(order)}
-    case = F.lit(None).cast("int")
-    if order:
-        ids = F.create_map(*[F.lit(x) for b in order if firsts[b] is not None for x in (b, firsts[b])]) if order != [len(bounds) + 1] else None
-        back = F.create_map(*[F.lit(x) for b in order for x in (b, before[b])])
-        first = F.try_element_at(ids, F.col("__b")) if ids is not None else F.lit(None).cast("long")
-        case = F.when(F.col("doc_id").eqNullSafe(first), F.element_at(back, F.col("__b")))
+    place = F.col("__b") + 1
+    first = F.element_at(longs([firsts.get(b) for b in range(last + 1)]), place)
+    back = F.element_at(longs([before.get(b) for b in range(last + 1)]), place).cast("int")
+    rows = rows.withColumn("__back", F.when(F.col("doc_id").eqNullSafe(first), back))
     own = F.struct(F.col("__b").alias("b"), F.lit(False).alias("halo"))
-    also = F.struct(case.alias("b"), F.lit(True).alias("halo"))
-    places = F.when(case.isNull(), F.array(own)).otherwise(F.array(own, also))
+    also = F.struct(F.col("__back").alias("b"), F.lit(True).alias("halo"))
+    places = F.when(F.col("__back").isNull(), F.array(own)).otherwise(F.array(own, also))
     return rows.select(F.explode_outer(places).alias("p"), "doc_id", "text").select(F.col("p.b").alias("__b"), F.col("p.halo").alias("__halo"), "doc_id", "text")
 
 
@@ -172,6 +177,7 @@ def compare(docs: DataFrame) -> DataFrame:
                 last, over = this, halo
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(kinds), kinds)], names)
 
-    rows = with_buckets(docs, parts).repartition(parts, "__b")
+    # several buckets a task even out what their hash deals to each
+    rows = with_buckets(docs, BUCKETS * parts).repartition(parts, "__b")
     rows = rows.sortWithinPartitions("__b", "__halo", F.col("doc_id").asc_nulls_last(), "text")
     return rows.select("__b", "__halo", "doc_id", "text").mapInArrow(run, schema)
