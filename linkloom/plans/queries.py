@@ -336,7 +336,7 @@ neg AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || source1_entity_id ||
 SELECT source1_entity_id, other_entity_id, source_tag, label FROM lab WHERE label = 1
 UNION ALL SELECT source1_entity_id, other_entity_id, source_tag, label FROM neg WHERE n <= 5 * (SELECT count(*) FROM lab WHERE label = 1)""")
 def negative_sample(spark, d):
-    return training.sample_negatives(label_pairs(spark, d), 5, 42)
+    return training.sample_negatives(label_pairs(spark, d).cache(), 5, 42)  # counted, then read twice
 
 
 @query(f"""{N}, o AS (SELECT entity_id, row_number() OVER (ORDER BY md5('42|' || entity_id), entity_id) AS n, count(*) OVER () AS total FROM s1)
@@ -368,7 +368,7 @@ be AS (SELECT *, row_number() OVER (PARTITION BY country_norm ORDER BY m DESC, g
 SELECT country_norm, CASE WHEN n >= 20 AND country_norm IN (SELECT country_norm FROM scored) THEN threshold ELSE (SELECT threshold FROM al) END AS threshold FROM be WHERE r = 1
 UNION ALL SELECT '_default', threshold FROM al""")
 def threshold_by_country(spark, d):
-    rows, entities = linear_scores(spark, d)
+    rows, entities = (x.cache() for x in linear_scores(spark, d))  # read for the global and each country's threshold
     return decide.tune_by_country(entities, rows, tables.document_truth(spark, d), GRID, 0.5, 20)
 
 
