@@ -1,10 +1,10 @@
 """BPE encoding and decoding by a pair occurrence index.
 
 Texts are cut at white space and the distinct pieces of a batch are normalised (canonical composition, lower
-case) and split into words. The words that a worker has not met are merged together: an index maps the rank
+case) and split into words; pieces beyond Latin letters are normalised and split by the library. The words that a worker has not met are merged together: an index maps the rank
 of every adjacent pair to all its positions; ranks are taken in ascending order from a heap, all positions of
 a rank are merged at once, and the pairs that this makes are added to the lists of their ranks. A document's
-ids are then gathered piece by piece. Pieces and words stay in per-worker caches of bounded size.
+ids are then gathered piece by piece. Pieces and words stay in per-worker banks of bounded size.
 
 Edge cases: null text is empty and has no ids; special tokens inside a text become their ids, as the library
 does by default; white space carries nothing; bytes that the vocabulary lacks are dropped; repeated rows and
@@ -17,7 +17,7 @@ import hashlib
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,13 +26,16 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from linkloom.llm.common import slices
 
-#: Entries of the caches of a worker; a full cache is emptied.
-CACHE_PIECES = 100_000
-CACHE_WORDS = 200_000
+#: Entries of the banks of a worker; a bank that is over is emptied before more is learned.
+CACHE_PIECES = 300_000
+CACHE_WORDS = 400_000
 NONE = np.int64(1 << 40)
+#: Up to here every version of Unicode agrees on letters, numbers and case.
+BEYOND_LATIN = regex.compile("[^\\x00-\\u024F]")
 
 
 def byte_symbols() -> list[str]:
@@ -75,10 +78,10 @@ class Merges:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((self.keys[at] == key) & (a >= 0) & (b >= 0), self.rank_of[at], NONE)
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word."""
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and how many each has."""
         if not words:
-            return []
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         raw = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum(sizes)
@@ -139,61 +142,89 @@ class Merges:
             new = np.concatenate([left, right])
             add(new, self.ranks(token[new], token[nxt[new]]))
         alive = token >= 0
-        counts = np.bincount(owner[alive], minlength=len(words))
-        return np.split(token[alive], np.cumsum(counts)[:-1])
+        return token[alive].astype(np.uint32), np.bincount(owner[alive], minlength=len(words))
+
+
+class Bank:
+    """Ids of strings: a place for each string, and one flat array for all their ids."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.begun, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def add(self, keys: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        have = len(self.begun)
+        self.begun = np.concatenate([self.begun, len(self.flat) + np.cumsum(counts) - counts])
+        self.sizes = np.concatenate([self.sizes, counts])
+        self.flat = np.concatenate([self.flat, ids])
+        self.index.update(zip(keys, range(have, have + len(keys))))
+
+    def places(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the strings at these places, one after another."""
+        n = self.sizes[at]
+        return self.flat[np.repeat(self.begun[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
 
 class Coder:
-    """Ids and token strings of pieces of text without ASCII white space, kept in bounded caches."""
+    """Ids of pieces of text without ASCII white space, and of their words, kept in banks of bounded size."""
 
     def __init__(self, path: str):
         self.merges = Merges(path)
-        self.known_words: dict[str, tuple[bytes, str]] = {}
-        self.known_pieces: dict[str, tuple[bytes, str]] = {}
-        self.specials = {s: (np.array([i], "<u4").tobytes(), s) for s, i in self.merges.special.items()}
-
-    def split(self, piece: str) -> list[str]:
-        """The words of a piece; special tokens stay as they are."""
-        if "<" in piece and self.merges.special and self.merges.cut.search(piece):
-            out, at = [], 0
-            for m in self.merges.cut.finditer(piece):
-                out += [*self.split(piece[at : m.start()]), m[0]]
+        self.token_strings = pa.array(self.merges.tokens, pa.string())
+        self.normalize = Tokenizer.from_file(path).normalizer.normalize_str
+        self.library_split = pre_tokenizers.Split(Regex(self.merges.words.pattern), "removed", invert=True).pre_tokenize_str
+        # all new pieces are split at once; the newline between them comes out as a word of its own, without ids
+        self.split = regex.compile(f"(?:{self.merges.words.pattern})|\n")
+        self.forget_words()
+        self.pieces = Bank()
+
+    def forget_words(self) -> None:
+        self.words = Bank()
+        self.words.add(["\n"], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def coded(self, words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words of n pieces, with a newline between pieces, one after another, and how many each piece has."""
+        if len(self.words.index) > CACHE_WORDS:
+            self.forget_words()
+        new = [w for w in dict.fromkeys(words) if w not in self.words.index]
+        self.words.add(new, *self.merges.encode([w.encode("utf-8", "surrogatepass") for w in new]))
+        at = self.words.places(words)
+        owner = np.cumsum(at == 0)
+        return self.words.ids(at), np.bincount(owner, self.words.sizes[at], minlength=n).astype(np.int64)
+
+    def plain(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces of Latin text, split at once."""
+        text = "\n".join(pieces)
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        return self.coded(self.split.findall(text.lower()), len(pieces))
+
+    def strange(self, piece: str) -> np.ndarray:
+        """Ids of any other piece: the library finds special tokens, case and classes of its own version of Unicode."""
+        out, at = [], 0
+        for m in [*self.merges.cut.finditer(piece), None]:
+            part = self.normalize(piece[at : m.start() if m else len(piece)])
+            out.append(self.coded([w for w, _ in self.library_split(part)], 1)[0])
+            if m:
+                out.append(np.array([self.merges.special[m[0]]], np.uint32))
                 at = m.end()
-            return out + self.split(piece[at:])
-        if not piece.isascii():
-            piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")  # case by code point: no final sigma
-        return self.merges.words.findall(piece.lower())
-
-    def learn(self, words: Iterable[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.known_words]
-        if len(self.known_words) + len(new) > CACHE_WORDS:
-            self.known_words.clear()
-        tokens = self.merges.tokens
-        for w, ids in zip(new, self.merges.encode([w.encode("utf-8", "surrogatepass") for w in new])):
-            self.known_words[w] = (ids.astype("<u4").tobytes(), " ".join([tokens[i] for i in ids.tolist()]))
-
-    def pieces(self, pieces: list[str]) -> list[tuple[bytes, str]]:
-        """For each piece its ids as little-endian 32-bit integers and its token strings, joined by spaces."""
-        known, out = self.known_pieces, {}
-        new = [p for p in pieces if p not in known]
-        for at in range(0, len(new), CACHE_WORDS // 4):
-            some = {p: self.split(p) for p in new[at : at + CACHE_WORDS // 4]}
-            if len(self.known_words) > CACHE_WORDS // 2:
-                self.known_words.clear()
-            self.learn(w for words in some.values() for w in words if w not in self.specials)
-            find = self.known_words
-            for p, words in some.items():
-                if len(words) == 1:
-                    out[p] = self.specials.get(words[0]) or find[words[0]]
-                else:
-                    parts = [self.specials.get(w) or find[w] for w in words]
-                    out[p] = b"".join([x[0] for x in parts]), " ".join([x[1] for x in parts if x[1]])
-        found = [known[p] if p in known else out[p] for p in pieces]
-        if len(known) + len(out) > CACHE_PIECES:
-            known.clear()
-        for p in new[: CACHE_PIECES - len(known)]:
-            known[p] = out[p]
-        return found
+        return np.concatenate(out)
+
+    def learn(self, pieces: list[str]) -> None:
+        if len(self.pieces.index) > CACHE_PIECES:
+            self.pieces = Bank()
+        new = [p for p in pieces if p not in self.pieces.index]
+        other = [p for p in new if not p.isascii() and BEYOND_LATIN.search(p) or "<" in p and self.merges.cut.search(p)]
+        if other:
+            rare = set(other)
+            new = [p for p in new if p not in rare]
+            ids = [self.strange(p) for p in other]
+            self.pieces.add(other, np.concatenate(ids), np.array([len(x) for x in ids]))
+        for at in range(0, len(new), 100_000):
+            self.pieces.add(new[at : at + 100_000], *self.plain(new[at : at + 100_000]))
 
     def texts(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         """For each text (null: empty) its ids as little-endian 32-bit integers, and its decoded text."""
@@ -202,18 +233,14 @@ class Coder:
         full = pc.greater(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
         offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
         coded = values.filter(pa.array(full)).dictionary_encode()
-        found = self.pieces(coded.dictionary.to_pylist())
-        at, spoken = coded.indices, np.array([bool(x[1]) for x in found], bool)
-        if not spoken.all():  # pieces of other white space only: they may not leave a separator
-            stays = spoken[at.to_numpy()]
-            at, offsets = at.filter(pa.array(stays)), np.concatenate([[0], np.cumsum(stays)])[offsets]
-        ids = pa.array([x[0] for x in found], pa.binary()).take(at)
-        said = pa.array([x[1] for x in found], pa.string()).take(at)
-        offsets = pa.array(offsets, pa.int32())
-        return (
-            pc.binary_join(pa.ListArray.from_arrays(offsets, ids), b""),
-            pc.binary_join(pa.ListArray.from_arrays(offsets, said), " "),
-        )
+        pieces = coded.dictionary.to_pylist()
+        self.learn(pieces)
+        at = self.pieces.places(pieces)[coded.indices.to_numpy()]
+        ids = self.pieces.ids(at)
+        cuts = np.concatenate([[0], np.cumsum(self.pieces.sizes[at])])[offsets]
+        raw = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(cuts * 4), pa.py_buffer(ids.astype("<u4"))])
+        said = self.token_strings.take(pa.array(ids))
+        return raw.cast(pa.binary()), pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), said), " ")
 
 
 @lru_cache(maxsize=2)
