@@ -133,6 +133,8 @@ class Tokens:
         inner = np.ones(len(at), bool)
         inner[offsets[:-1]] = False
         bad = np.add.reduceat((odd[at] & inner).astype(np.int64), offsets[:-1]) > 0
+        # white space at the start would run on from the added newline
+        bad |= pc.match_substring_regex(texts, f"^[{RE2_SPACE}]").to_numpy(zero_copy_only=False)
         kept = ~odd[at]
         at = place[at[kept]]
         flat, n = self.gathered(at), self.sizes[at]
