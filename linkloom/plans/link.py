@@ -30,7 +30,8 @@ def read_sources(spark: SparkSession, cfg: Config, folder: str) -> Sources:
     s2 = tsv.read_source(spark, f"{folder}/{p.source2_file}", "source2")
     s3 = tsv.read_source(spark, f"{folder}/{p.source3_file}", "source3")
     columns = [*tsv.SOURCE.columns, "source_tag"]
-    return Sources(normalized(s1), normalized(s2.select(columns).unionByName(s3.select(columns))))
+    # every strategy and the features read them: normalised once
+    return Sources(normalized(s1).cache(), normalized(s2.select(columns).unionByName(s3.select(columns))).cache())
 
 
 def scored_candidates(cfg: Config, sources: Sources, model: training.Ensemble) -> DataFrame:

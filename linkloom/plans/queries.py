@@ -38,11 +38,12 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def both(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return sides(docs(spark, d))
+    """Both sides of the documents; normalised once, as every strategy and the features read them."""
+    return sides(docs(spark, d).cache())
 
 
 def traders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return sides(normalized(tables.traders(spark, d)))
+    return sides(normalized(tables.traders(spark, d)).cache())
 
 
 N = f"WITH {o.normalized()}"
