@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.config import Blocking
+from linkloom.config import Blocking, Models
 from linkloom.functions import fold, rules, similarity, text
 from linkloom.operators import blocking, check, decide, nearest, training
 from linkloom.operators import features as feat
@@ -451,10 +451,6 @@ def validate_submission(spark, d):
 @query()
 def gbt_score(spark, d):
     pairs, s1, others = candidates(spark, d)
-    truth = tables.document_truth(spark, d)
-    rows = training.labelled(feat.catalyst_features(feat.with_records(pairs, s1, others)).withColumns({c: F.lit(0.0) for c in feat.FEATURES if c not in SQL_FEATURES}), truth)
-    rows = rows.select(*blocking.PAIR, "label", *feat.FEATURES).cache()  # the learner reads it many times
-    from linkloom.config import Models
-
-    model = training.build_model(Models(active_model="boosted", gbt_trees=5, gbt_depth=3), 42)
-    return model.fit(training.sample_negatives(rows, 5, 42)).score(rows).select(*blocking.PAIR, "label", "score")
+    rows = training.labelled(feat.features(pairs, s1, others), tables.document_truth(spark, d)).cache()  # the learners read it many times
+    model = training.build_model(Models(), 42)
+    return model.fit(training.sample_negatives(rows, 5, 42).cache()).score(rows).select(*blocking.PAIR, "label", "score")

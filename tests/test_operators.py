@@ -6,9 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.config import Blocking, load_config
+from linkloom.config import Blocking, Models, load_config
 from linkloom.operators import blocking, check, decide, features, nearest, training
 from linkloom.operators.records import normalized
+from linkloom.plans import queries
 from linkloom.sources import tsv
 from linkloom.streaming.arrivals import link_arrivals
 
@@ -232,6 +233,31 @@ def test_settings(tmp_path, monkeypatch):
     assert load_config().decision.default_threshold == 0.5
 
 
+def test_gbt_score_learns_from_every_feature_with_the_default_models(spark, monkeypatch):
+    seen = {}
+
+    class Seen:
+        def fit(self, rows):
+            return self
+
+        def score(self, rows):
+            seen["rows"] = rows
+            return rows.withColumn("score", F.lit(0.5))
+
+    def build(cfg, seed):
+        seen["models"] = cfg
+        return Seen()
+
+    monkeypatch.setattr(training, "build_model", build)
+    d = "/root/testdata/sf0.001"
+    n = queries.gbt_score(spark, d).count()
+    rows = seen["rows"].select(*blocking.PAIR, *features.FEATURES)
+    whole = queries.feature_matrix(spark, d).select(*rows.columns)
+    assert seen["models"] == Models()
+    assert n == whole.count() > 0 and rows.exceptAll(whole).count() == 0
+    assert rows.where("name_edit_sim > 0 AND name_partial_ratio > 0 AND name_address_combined_sim > 0").count() > 0
+
+
 def test_stream_of_arrivals(spark, tmp_path, records):
     s1, _ = records
     schema = f"{RECORD}, source_tag string"
