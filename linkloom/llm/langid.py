@@ -6,6 +6,15 @@ observations of a mixture; expectation-maximisation estimates its proportions. L
 proportion, enter the document's set while the penalised log-likelihood (a penalty per language that grows
 with the log of the number of words) improves.
 
+The background, for words of no learned language, is a further component of a mixture of its own. It gives a
+trigram ``POOLED`` times its mean likelihood over the languages, and a floor, the geometric mean of an even
+share and the largest likelihood that a language gives a trigram it never showed. So trigrams that a language
+showed speak for it, those that none showed for the background, in any amount of labelled text. A document is
+``und`` where the background's proportion is over half and it alone explains the text better than each word's
+best language, by the penalty of a language for the words that are left (so a learned language's new words do
+not reject a text that has its known ones);
+elsewhere proportions are of the learned part.
+
 Edge cases: null text, or text with no letter, is ``und`` with score 0 and no languages; without labelled
 rows every document is ``und``; rows labelled null or with null text teach nothing; repeated rows and extra
 columns change nothing; long texts are read whole.
@@ -31,6 +40,10 @@ MAX_LANGUAGES = 256
 #: Log-likelihood that a further language must add, for each unit of log(words + 1).
 PENALTY = 6.0
 UNKNOWN = "und"
+#: The weight, in the background, of the languages' mean likelihood (less where the floor leaves less of 1).
+POOLED = 1 / 3
+#: Rounds of expectation-maximisation for the background's proportion.
+ROUNDS = 6
 
 _letters: np.ndarray | None = None
 
@@ -64,7 +77,7 @@ def grams(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
-    """The learned languages, in order, and their table of log-likelihoods (BUCKETS x languages).
+    """The learned languages, in order, and their table of log-likelihoods (BUCKETS x languages, the background last).
 
     The sample is every labelled row whose hashed id is below fit_docs over the language's rows.
     """
@@ -97,7 +110,10 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS, max_languages: int = MAX_
     for i, lang in enumerate(langs):
         own = found[found["lang"] == lang]
         table[own["bucket"].to_numpy(), i] += own["n"].to_numpy()
-    return langs, np.log(table / table.sum(axis=0)).astype(np.float32)
+    table /= table.sum(axis=0)
+    floor = np.sqrt(table.min(axis=0).max() / BUCKETS)
+    background = min(POOLED, 1 - floor * BUCKETS) * table.mean(axis=1, keepdims=True) + floor
+    return langs, np.log(np.hstack([table, background])).astype(np.float32)
 
 
 def em(like: np.ndarray, starts: np.ndarray, counts: np.ndarray, share: np.ndarray, rounds: int) -> np.ndarray:
@@ -109,17 +125,21 @@ def em(like: np.ndarray, starts: np.ndarray, counts: np.ndarray, share: np.ndarr
     return share
 
 
-def infer(texts: list[str | None], table: np.ndarray, penalty: float = PENALTY) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each text the chosen languages' positions, largest proportion first, and their proportions."""
+def infer(texts: list[str | None], table: np.ndarray, penalty: float = PENALTY) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """For each text the chosen languages' positions, largest proportion first, their proportions, and the background's.
+
+    The background's is of the whole text, 1 without letters and 0 where it does not explain the text better
+    than the words' best languages; the languages' are of the learned part.
+    """
     n = len(texts)
-    picked, shares = [np.zeros(0, np.int64)] * n, [np.zeros(0)] * n
+    picked, shares, unknown = [np.zeros(0, np.int64)] * n, [np.zeros(0)] * n, np.ones(n)
     points, ends = lowered(texts)
     at, bucket, first = grams(points)
-    n_langs = table.shape[1]
-    if not len(at) or not n_langs:
-        return picked, shares
+    n_langs = table.shape[1] - 1
+    if not len(at) or n_langs < 1:
+        return picked, shares, unknown
     heads = np.flatnonzero(first)
-    logs = np.empty((len(heads), n_langs), np.float32)
+    logs = np.empty((len(heads), n_langs + 1), np.float32)
     step = max(1000, 4_000_000 // n_langs // 8)
     for a in range(0, len(heads), step):  # words by words, so that the gathered rows stay small
         to = heads[a + step] if a + step < len(heads) else len(bucket)
@@ -127,8 +147,15 @@ def infer(texts: list[str | None], table: np.ndarray, penalty: float = PENALTY)
     owner = np.searchsorted(ends, at[heads], side="right")
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     docs, counts = owner[starts], np.diff(np.append(starts, len(owner)))
-    top = logs.max(axis=1)
-    like = np.maximum(np.exp(logs - top[:, None]), np.float32(1e-30))
+
+    def scaled(logs: np.ndarray) -> np.ndarray:
+        return np.maximum(np.exp(logs - logs.max(axis=1, keepdims=True)), np.float32(1e-30))
+
+    everything = np.full((len(docs), n_langs + 1), 1 / (n_langs + 1), np.float32)
+    unknown[docs] = em(scaled(logs), starts, counts, everything, ROUNDS)[:, -1]
+    better = np.add.reduceat((logs[:, -1] - logs[:, :-1].max(axis=1)).astype(np.float64), starts)
+    unknown[docs[better <= penalty * np.log((1 - unknown[docs]) * counts + 1)]] = 0
+    like = scaled(logs[:, :-1])
 
     share = em(like, starts, counts, np.full((len(docs), n_langs), 1 / n_langs, np.float32), 6)
     order = np.argsort(-share, axis=1, kind="stable")
@@ -162,13 +189,14 @@ def infer(texts: list[str | None], table: np.ndarray, penalty: float = PENALTY)
         p = best[i]
         own = np.argsort(-p, kind="stable")[: size[i]]
         picked[d], shares[d] = own, p[own].astype(float)
-    return picked, shares
+    return picked, shares, unknown
 
 
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[str] | None = None, most_unknown: float = 0.5) -> DataFrame:
     """doc_id, lang_pred, score (its proportion), languages and proportions, one row per row of ``docs``.
 
-    ``carry`` names further columns of ``docs`` to keep, ahead of those.
+    ``carry`` names further columns of ``docs`` to keep, ahead of those; documents of which more than
+    ``most_unknown`` is background are ``und``.
     """
     langs, table = model
     shared = docs.sparkSession.sparkContext.broadcast((langs, table))  # bounded: BUCKETS x MAX_LANGUAGES
@@ -179,14 +207,16 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[s
         langs, table = shared.value
         names = np.array([*langs, UNKNOWN], object)
         for batch in slices(batches, "__text", 1 << 20):
-            picked, shares = infer(batch.column(len(carry)).to_pylist(), table)
+            picked, shares, unknown = infer(batch.column(len(carry)).to_pylist(), table)
+            for i in np.flatnonzero(unknown > most_unknown):
+                picked[i] = shares[i] = ()
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[: len(carry)],
                     pa.array([names[p[0]] if len(p) else UNKNOWN for p in picked], pa.string()),
                     pa.array([min(1.0, float(s[0])) if len(s) else 0.0 for s in shares], pa.float64()),
                     pa.array([[names[i] for i in p] for p in picked], pa.list_(pa.string())),
-                    pa.array([s.tolist() for s in shares], pa.list_(pa.float64())),
+                    pa.array([list(s) for s in shares], pa.list_(pa.float64())),
                 ],
                 names=[*carry, "lang_pred", "score", "languages", "proportions"],
             )
@@ -203,10 +233,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def known_language(docs: DataFrame, least: float = 0.5, fit_docs: int = FIT_DOCS) -> DataFrame:
-    """The rows of ``docs`` in a language of its labelled rows: predicted, with at least ``least`` of the text."""
+    """The rows of ``docs`` in languages of its labelled rows, together with at least ``least`` of the text."""
     model = fit(docs, fit_docs)
     names = docs.columns
     safe = docs.toDF(*[f"__c{i}" for i in range(len(names))])
     text = F.col(f"__c{names.index('text')}").cast("string")
-    rows = identify(safe.withColumn("text", text), model, carry=safe.columns)
-    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*safe.columns).toDF(*names)
+    rows = identify(safe.withColumn("text", text), model, carry=safe.columns, most_unknown=1 - least)
+    return rows.where(F.col("lang_pred") != UNKNOWN).select(*safe.columns).toDF(*names)

@@ -185,6 +185,22 @@ def test_languages(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_texts_in_no_learned_language_go(spark):
+    """Also where only one or two languages are learned, and from short texts; texts in several learned ones stay."""
+    foreign = ["Привет, мир. Сегодня хорошая погода", "Привет", "สวัสดีชาวโลก", "今天天气很好", "hyvää huomenta ystävä", "huomenta", "xkq zzvp qwrtk jjhx"]
+    foreign.append(f"{sentences('de', 1, 20)} {' '.join(['погода сегодня хорошая'] * 20)}")
+    mostly = f"{sentences('de', 1, 60)} {' '.join(['погода'] * 20)}"
+    for langs in (["de"], ["de", "en"], ["de", "en", "fr"]):
+        rows = [(i, sentences(lang, i // len(langs)), lang) for i, lang in enumerate(langs * 40)]
+        mixed = " ".join(sentences(lang, 3, 40) for lang in langs)
+        docs = spark.createDataFrame([*rows, (1000, mixed, None), (1001, mostly, None), (1002, "der", None)] + [(2000 + i, t, None) for i, t in enumerate(foreign)], "doc_id long, text string, lang string")
+        by = {r["doc_id"]: r for r in langid.identify(docs, langid.fit(docs)).collect()}
+        assert all(by[i]["lang_pred"] == lang for i, _, lang in rows)
+        assert all(by[2000 + i]["lang_pred"] == "und" and by[2000 + i]["score"] == 0 and by[2000 + i]["languages"] == [] for i in range(len(foreign)))
+        assert sorted(by[1000]["languages"]) == langs and by[1000]["score"] < 1 / len(langs) + 0.1
+        assert {r["doc_id"] for r in langid.known_language(docs).collect()} == {i for i, _, _ in rows} | {1000, 1001, 1002}
+
+
 def test_em_recovers_proportions():
     import numpy as np
 
