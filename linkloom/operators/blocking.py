@@ -115,7 +115,7 @@ def strategies(cfg: Blocking) -> list:
         raise ValueError(f"unknown blocking strategies: {', '.join(unknown)}")
     found = [known[n]() for n in cfg.active_strategies]
     if cfg.use_dense_embedding:
-        found.append(Nearest("dense_embedding_nn", lambda a, b: nearest.dense(a, b, cfg.dense_top_k, cfg.dense_min_similarity)))
+        found.append(Nearest("dense_embedding_nn", lambda a, b: nearest.dense(a, b, cfg.dense_top_k, cfg.dense_min_similarity, cfg.min_key_length)))
     return found
 
 

@@ -12,7 +12,7 @@ import json
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions import text
@@ -25,11 +25,18 @@ ALPHABET = " 0123456789abcdefghijklmnopqrstuvwxyz"
 WIDTH = len(ALPHABET) + len(ALPHABET) ** 2
 
 
+def name_and_address() -> Column:
+    return F.concat(F.coalesce("norm_name", F.lit("")), F.lit(" "), F.coalesce("norm_address", F.lit("")))
+
+
+def long_enough(least: int) -> Column:
+    return F.length(F.trim(name_and_address())) >= least
+
+
 def texts(records: DataFrame, least: int) -> DataFrame:
     """entity_id, country_norm, .., text: name and address as one string, if long enough."""
-    both = F.concat(F.coalesce("norm_name", F.lit("")), F.lit(" "), F.coalesce("norm_address", F.lit("")))
     keep = [c for c in ("entity_id", "country_norm", "source_tag") if c in records.columns]
-    return records.select(*keep, both.alias("text")).where(F.length(F.trim("text")) >= least)
+    return records.select(*keep, name_and_address().alias("text")).where(F.length(F.trim("text")) >= least)
 
 
 def tfidf_weights(s1: DataFrame, others: DataFrame, least: int = 2) -> DataFrame:
@@ -155,8 +162,13 @@ def tfidf(s1: DataFrame, others: DataFrame, k: int = 20, least_sim: float = 0.10
     return best_of_blocks(a, b, similarity, k, least_sim, "text", extra=tables)
 
 
-def dense(s1: DataFrame, others: DataFrame, k: int = 20, least_sim: float = 0.60) -> DataFrame:
-    """The k most similar others by cosine of the column embedding, within country and tag."""
+def dense(s1: DataFrame, others: DataFrame, k: int = 20, least_sim: float = 0.60, least: int = 0) -> DataFrame:
+    """The k most similar others by cosine of the column embedding, within country and tag.
+
+    With ``least`` above 0, only of records whose name and address are long enough.
+    """
+    if least > 0:
+        s1, others = s1.where(long_enough(least)), others.where(long_enough(least))
     group = ["country_norm", "source_tag"]
     b = others.select("entity_id", *group, F.col("embedding").cast("array<double>").alias("v"))
     a = s1.select("entity_id", "country_norm", F.col("embedding").cast("array<double>").alias("v"))

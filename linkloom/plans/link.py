@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.config import Config
-from linkloom.operators import blocking, decide, training
+from linkloom.operators import blocking, decide, nearest, training
 from linkloom.operators.features import features
 from linkloom.operators.records import normalized
 from linkloom.sources import tsv
@@ -24,6 +24,22 @@ class Sources:
     others: DataFrame
 
 
+def with_vectors(records: DataFrame, vectors: DataFrame, least: int) -> DataFrame:
+    """``records`` with the embedding of their id; a record long enough to be searched must have one."""
+    rows = records.join(vectors, "entity_id", "left").cache()
+    if missing := [r["entity_id"] for r in rows.where(F.col("embedding").isNull() & nearest.long_enough(least)).select("entity_id").limit(5).collect()]:
+        raise ValueError(f"records without an embedding: {', '.join(missing)}")
+    return rows.withColumn("embedding", F.coalesce("embedding", F.array().cast("array<double>")))
+
+
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """entity_id, embedding of a Parquet table; ids must be unique."""
+    vectors = spark.read.parquet(path).select("entity_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    if twice := [r["entity_id"] for r in vectors.groupBy("entity_id").count().where("count > 1").limit(5).collect()]:
+        raise ValueError(f"ids with several embeddings: {', '.join(map(str, twice))}")
+    return vectors
+
+
 def read_sources(spark: SparkSession, cfg: Config, folder: str) -> Sources:
     p = cfg.paths
     s1 = tsv.read_tsv(spark, f"{folder}/{p.source1_file}", tsv.SOURCE)
@@ -31,7 +47,11 @@ def read_sources(spark: SparkSession, cfg: Config, folder: str) -> Sources:
     s3 = tsv.read_source(spark, f"{folder}/{p.source3_file}", "source3")
     columns = [*tsv.SOURCE.columns, "source_tag"]
     # every strategy and the features read them: normalised once
-    return Sources(normalized(s1).cache(), normalized(s2.select(columns).unionByName(s3.select(columns))).cache())
+    sources = Sources(normalized(s1).cache(), normalized(s2.select(columns).unionByName(s3.select(columns))).cache())
+    if not cfg.blocking.use_dense_embedding:
+        return sources
+    vectors, least = read_vectors(spark, f"{folder}/{p.embeddings_file}"), cfg.blocking.min_key_length
+    return Sources(with_vectors(sources.s1, vectors, least), with_vectors(sources.others, vectors, least))
 
 
 def scored_candidates(cfg: Config, sources: Sources, model: training.Ensemble) -> DataFrame:

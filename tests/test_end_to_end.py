@@ -73,6 +73,27 @@ def test_train_predict_validate_package(spark, workspace, capsys):
     assert cli.main(["validate", "--output-dir", str(out), "--source1-ids", source1]) == 1
 
 
+def test_train_and_predict_with_dense_vectors(spark, workspace):
+    """Candidates from precomputed vectors alone: each S1 entity meets the others of its direction and country."""
+    cfg = load_config(workspace / "c.yaml")
+    cfg.blocking.active_strategies, cfg.blocking.use_dense_embedding = [], True
+    cfg.paths.model_dir, cfg.paths.output_dir = f"{workspace}/dense_models", f"{workspace}/dense_output"
+    for part, copies in (("train", 6), ("test", 2)):
+        rows = [(f"S{n}-{k}{i}", [float(i == j) for j in range(1, 7)]) for n in (1, 2, 3) for k in range(copies) for i in range(1, 7)]
+        spark.createDataFrame(rows, "entity_id string, embedding array<double>").write.parquet(f"{workspace}/data/{part}/embeddings.parquet")
+    assert link.train(spark, cfg)["recall_after_cap"] == 1
+    assert link.predict(spark, cfg)["n_entities"] == 12
+    lines = (workspace / "dense_output" / "candidate_pairs.tsv").read_text().splitlines()[1:]
+    found = {a: set(filter(None, b.split(","))) for a, b in (line.split("\t") for line in lines)}
+    for k in range(2):
+        for i in range(1, 6):
+            assert found[f"S1-{k}{i}"] == {f"S{n}-{c}{i}" for n in (2, 3) for c in range(2)}
+    cfg.paths.embeddings_file = "few.parquet"
+    spark.createDataFrame(rows[1:], "entity_id string, embedding array<double>").write.parquet(f"{workspace}/data/test/few.parquet")
+    with pytest.raises(ValueError, match="without an embedding: S1-01"):
+        link.predict(spark, cfg)
+
+
 def test_contract(spark):
     q, o = contract.queries(), contract.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 40
