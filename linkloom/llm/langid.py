@@ -35,8 +35,8 @@ from linkloom.llm.common import slices
 BUCKETS = 1 << 15
 #: The bound of the sample: about this many labelled rows of each language, picked by a hash of their ids.
 FIT_DOCS = 1500
-#: The bound of the model: the languages with the most labelled rows.
-MAX_LANGUAGES = 256
+#: Up to this many languages a slice of texts is 1 MB; with more it is smaller by as much, so that memory is bounded.
+FULL_SLICE = 256
 #: Log-likelihood that a further language must add, for each unit of log(words + 1).
 PENALTY = 6.0
 UNKNOWN = "und"
@@ -76,13 +76,13 @@ def grams(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, (mixed >> np.uint32(32 - 15)).astype(np.int32), before[at] == 0
 
 
-def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS, max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
+def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> tuple[list[str], np.ndarray]:
     """The learned languages, in order, and their table of log-likelihoods (BUCKETS x languages, the background last).
 
     The sample is every labelled row whose hashed id is below fit_docs over the language's rows.
     """
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = known.groupBy("lang").count().collect()  # a row per language, all of which are learned
     if not counts:
         return [], np.zeros((BUCKETS, 0), np.float32)
     langs = sorted(r["lang"] for r in counts)
@@ -199,14 +199,14 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[s
     ``most_unknown`` is background are ``und``.
     """
     langs, table = model
-    shared = docs.sparkSession.sparkContext.broadcast((langs, table))  # bounded: BUCKETS x MAX_LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast((langs, table))  # BUCKETS x languages
     carry = ["doc_id"] if carry is None else carry
     rows = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table = shared.value
         names = np.array([*langs, UNKNOWN], object)
-        for batch in slices(batches, "__text", 1 << 20):
+        for batch in slices(batches, "__text", (1 << 20) * FULL_SLICE // max(FULL_SLICE, len(langs))):
             picked, shares, unknown = infer(batch.column(len(carry)).to_pylist(), table)
             for i in np.flatnonzero(unknown > most_unknown):
                 picked[i] = shares[i] = ()

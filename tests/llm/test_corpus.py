@@ -201,6 +201,16 @@ def test_texts_in_no_learned_language_go(spark):
         assert {r["doc_id"] for r in langid.known_language(docs).collect()} == {i for i, _, _ in rows} | {1000, 1001, 1002}
 
 
+def test_every_language_is_learned(spark):
+    """Each of 300 languages has a script of its own: eight code points of the Hangul block."""
+    rows = [(i, " ".join(chr(0xAC00 + 8 * i + (k * k + k // 3) % 8) * 2 for k in range(40)), f"l{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model[0] == [r[2] for r in rows]
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, model).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+
+
 def test_em_recovers_proportions():
     import numpy as np
 
