@@ -10,7 +10,8 @@ Inside a task only a spanning forest of the links is kept (connectivity is what
 of n near copies leaves n - 1 rows, not n * n. Copies meet as one fingerprint before the join.
 
 Edge cases: null or blank text has fingerprint zero, linked like any other; null doc_ids stay as rows and
-never name a component unless all its ids are null; repeated rows stay; an empty table gives no rows.
+never name a component unless all its ids are null; repeated rows stay; an empty table gives no rows, and
+partitions without rows give none; extra columns are not read (``keep_one`` keeps them).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import slices, written
+from linkloom.llm.common import drop, scratch, slices, written
 
 BUDGET = 4
 SHINGLE = 4
@@ -182,10 +183,10 @@ def links(fps: DataFrame, budget: int = BUDGET, hot: int = 200_000, per_task: in
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // per_task + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:  # an empty partition
             return
-        rot, seg, q, na, nb, x = (c.to_numpy() for c in table.columns)
+        rot, seg, q, na, nb, x = (c.to_numpy() for c in pa.Table.from_batches(held).columns)
         x = x.view(np.uint64)
         for r in np.unique(rot):
             by, width = turns[r]
@@ -252,11 +253,15 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
+    spark = edges.sparkSession
     edges = written(down(edges).where("a <> b").distinct(), "links")
     was = state(edges)
+    if not was[0]:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for i in range(most):
-        edges = star(edges, f"large{i}", True)
-        edges = star(edges, f"small{i}", False)
+        with scratch(spark) as keep:  # what the round has written goes, but for its outcome
+            past, edges = edges, keep(star(star(edges, f"large{i}", True), f"small{i}", False))
+        drop(past)
         now = state(edges)
         if now == was:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -266,13 +271,14 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, budget: int = BUDGET, width: int = SHINGLE) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable over links), one row per row of ``docs``."""
-    prints = written(fingerprints(docs, width), "fingerprints")
-    first = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(first.select("fp"), budget))
-    classes = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    classes = written(classes.select("fp", F.coalesce("root", "fp").alias("root"), "first"), "rooted")
-    lowest = written(classes.groupBy("root").agg(F.min("first").alias("component_id")), "lowest")
-    named = written(classes.join(lowest, "root").select("fp", "component_id"), "named")
+    with scratch(docs.sparkSession) as keep:
+        prints = keep(written(fingerprints(docs, width), "fingerprints"))
+        first = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+        roots = components(links(first.select("fp"), budget))
+        classes = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+        classes = written(classes.select("fp", F.coalesce("root", "fp").alias("root"), "first"), "rooted")
+        lowest = written(classes.groupBy("root").agg(F.min("first").alias("component_id")), "lowest")
+        named = keep(written(classes.join(lowest, "root").select("fp", "component_id"), "named"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
