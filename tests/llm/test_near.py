@@ -97,6 +97,18 @@ def test_near_duplicates(spark):
     assert simhash.keep_one(with_null).where("doc_id IS NULL").count() == 1
 
 
+@pytest.mark.parametrize(("texts", "partitions"), [([], None), (["one document"], None), (["same text", "same text"], 200), ([None, None, None], None)])
+def test_near_duplicates_small_tables(spark, texts, partitions):
+    """Few rows, over more partitions than rows."""
+    docs = spark.createDataFrame([(i + 5, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    if partitions:
+        docs = docs.repartition(partitions)
+    roots = plain_components([plain_fingerprint(t) for t in texts], 4)
+    expected = [(i + 5, plain_fingerprint(t), roots[i] + 5) for i, t in enumerate(texts)]
+    assert sorted((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in simhash.near_duplicates(docs).collect()) == expected
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == sorted({c for *_, c in expected})
+
+
 def plain_phrases(text):
     known, start = set(), 0
     for end in range(1, len(text) + 1):
@@ -155,6 +167,7 @@ def test_compare_small_tables(spark):
 
 
 def plain_nearest(rows, k):
+    """A list of neighbours for each row that is a query, by a plain loop."""
     use = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v) and i is not None]
     out = []
     for q, v in use:
@@ -187,21 +200,32 @@ def test_factor_trades_recall(spark):
     assert len(near & exact) / len(exact) >= 0.9
 
 
-def test_tree_prunes():
+@pytest.mark.parametrize("repeats", [1000, 3])
+def test_repeated_rows_are_queries_each(spark, monkeypatch, repeats):
+    """An id in two rows, and an id in very many equal rows: each row asks and answers for itself."""
+    monkeypatch.setattr(vptree, "REPEATS", repeats)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(1, 130)]
+    rows += [(100, rows[99][1]), (100, rng.normal(size=4).tolist())] + [(200, rows[0][1])] * 40 + [(7, rows[6][1])] * 20
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = vptree.nearest(df, df.where("vec_id % 100 = 0"), shard_rows=30).collect()
+    assert sorted(map(tuple, found)) == sorted(plain_nearest(rows, 10))
+
+
+def test_tree_prunes(monkeypatch):
+    """On clustered vectors a query meets few rows and still finds the nearest."""
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(50, 4)) * 50
     rows = np.concatenate([c + rng.normal(size=(100, 4)) for c in centres])
-    tree, seen = vptree.Tree(np.arange(len(rows)), rows), 0
-    real = vptree.distances
-
-    def counted(own, q):
-        nonlocal seen
-        seen += len(own)
-        return real(own, q)
-
-    vptree.distances = counted
-    try:
-        tree.search(-1, rows[0], 10)
-    finally:
-        vptree.distances = real
-    assert seen < len(rows) / 4
+    tree, made = vptree.Tree(np.arange(len(rows)), rows, leaf=16), []
+    plain = vptree.Best.__init__
+
+    def noted(self, *args):
+        plain(self, *args)
+        made.append(self)
+
+    monkeypatch.setattr(vptree.Best, "__init__", noted)
+    at, ids, d = tree.search(np.arange(0, 5000, 100), rows[::100], 10)
+    assert made[0].seen < 50 * len(rows) / 8
+    expected = [(q, r, i) for q, v in enumerate(rows[::100]) for r, (_, i) in enumerate(sorted((x, i) for i, x in enumerate(vptree.distances(rows, v)) if i != 100 * q)[:10])]
+    assert list(zip(at.tolist(), [k % 10 for k in range(len(at))], ids.tolist())) == expected
