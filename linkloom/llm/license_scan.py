@@ -8,20 +8,23 @@ inside its copy collides as soon as it covers that one shingle, and windows cove
 verbatim copy is missed only if in every band foreign shingles at its rim are smaller, and a copy with share c
 of its shingles is retrieved with probability about 1 - (1 - c) ** BANDS, over 0.99999 at c = 0.8. Templates
 too short to dominate a window (up to ``SHORT`` shingles) are looked up in windows of one shingle, where the
-smallest hash is the shingle itself.
+smallest hash is the shingle itself. A window's smallest hash is a shingle of the text, so texts that hold no
+template's smallest one cannot hit in any band, and their windows are never built.
 
-Verification counts the template's distinct shingles in windows of twice its length that begin every length:
-a copy lies whole in one of them. A match holds at least ``LEAST`` of the template's shingles.
+Verification counts the template's distinct shingles in windows of twice its length that begin anywhere, and
+takes the best: a copy counts wherever it stands and as long as what is inserted in it stays below its length.
+A match holds at least ``LEAST`` of the template's shingles. The count of all windows comes from one running
+sum: an occurrence counts in the windows that begin after the same shingle's last occurrence, up to itself.
 
-Edge cases: null, empty and short texts match nothing; a template repeated in a text gives one row; repeated
-rows of a doc_id count as one document's; null doc_ids are matched as one document; extra columns are not read.
+Edge cases: null, empty and short texts match nothing; a template repeated in a text gives one row; each row of
+``docs`` is matched by itself, also where rows share a doc_id or have none; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
@@ -105,51 +108,60 @@ def tagged(values: Column, band: int) -> Column:
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST, bands: int = BANDS) -> DataFrame:
-    """doc_id, license, containment (the best window's), windows (that match), first_word (where the first begins).
+    """doc_id, license, containment (the best window's), first_word (where the first window with enough begins).
 
     The templates' tables are bounded by their words; they are built by the same functions and broadcast.
     """
     spark = docs.sparkSession
     known = shingled(spark.createDataFrame([(k, t) for k, t in templates.items() if len(template_words(t)) >= SHINGLE], "license string, text string"))
     known = [(r["license"], sorted(set(r["__sh"])), len(r["__sh"])) for r in known.collect()]
-    schema_out = "doc_id long, license string, containment double, windows long, first_word long"
+    schema_out = "doc_id long, license string, containment double, first_word long"
     if not known:
         return spark.createDataFrame([], schema_out)
     marks = constants(bands)
-    short = sorted({h for _, own, n in known if n <= SHORT for h in own})
     keys = [(i, min(h ^ c for h in own) ^ c, name) for i, c in enumerate(marks) for name, own, n in known if n > SHORT]
     keys += [(bands, h, name) for name, own, n in known if n <= SHORT for h in own]
 
-    def wanted(band: int) -> Column:
-        found = sorted({k for b, k, _ in keys if b == band})
+    def wanted(band: int | None = None) -> Column:
+        found = sorted({k for b, k, _ in keys if band is None or b == band})
         return F.array(*[F.lit(k) for k in found]) if found else F.array().cast("array<bigint>")
 
-    rows = shingled(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    # a row is told from others by its place, as ids may repeat or be null
+    rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = shingled(rows)
+    rows = rows.withColumn("__sh", F.when(F.arrays_overlap("__sh", wanted()), F.col("__sh")))
+    # outer explodes, for the optimiser copies the arrays below a plain one as a filter
     blocks = F.transform(
         F.filter(F.sequence(F.lit(1), F.greatest(F.size("__sh"), F.lit(1)), F.lit(STEP)), lambda i: i <= F.size("__sh")),
         lambda i: F.slice("__sh", i, F.lit(STEP)),
     )
-    rows = rows.withColumn("__blocks", blocks)
+    rows = rows.withColumn("__blocks", F.when(F.col("__sh").isNotNull(), blocks))
     names = [f"__m{i}" for i in range(bands)]
-    rows = rows.select("doc_id", "__sh", *[block_minima(c).alias(n) for c, n in zip(marks, names)])
-    rows = rows.select("doc_id", "__sh", *[window_minima(n, c).alias(n) for c, n in zip(marks, names)])
+    rows = rows.select("__row", "doc_id", "__sh", *[block_minima(c).alias(n) for c, n in zip(marks, names)])
+    rows = rows.select("__row", "doc_id", "__sh", *[window_minima(n, c).alias(n) for c, n in zip(marks, names)])
     hits = [tagged(F.array_intersect(n, wanted(i)), i) for i, n in enumerate(names)]
     hits.append(tagged(F.array_intersect("__sh", wanted(bands)), bands))
-    rows = rows.select("doc_id", "__sh", F.concat(*hits).alias("__hits"))
-    # a template per hit; outer explodes, for the optimiser copies the arrays below a plain one as a filter
-    table = F.create_map(*[x for b, k in sorted({(b, k) for b, k, _ in keys}) for x in (F.lit(f"{b}:{k}"), F.array(*[F.lit(n) for b2, k2, n in keys if (b2, k2) == (b, k)]))])
-    named = F.array_distinct(F.flatten(F.transform("__hits", lambda h: F.try_element_at(table, F.concat_ws(":", h["band"], h["key"])))))
-    rows = rows.select("doc_id", "__sh", named.alias("__named"))
-    rows = rows.select("doc_id", "__sh", F.explode_outer("__named").alias("license")).where("license IS NOT NULL")
+    rows = rows.select("__row", "doc_id", "__sh", F.explode_outer(F.concat(*hits)).alias("hit")).where("hit IS NOT NULL")
+    schema = "b int, k long, license string"
+    table = spark.createDataFrame(sorted(set(keys)), schema)
+    rows = rows.join(F.broadcast(table), (F.col("hit.band") == F.col("b")) & (F.col("hit.key") == F.col("k")))
+    rows = rows.select("__row", "doc_id", "__sh", "license").dropDuplicates(["__row", "license"])
 
     parts = spark.createDataFrame([(name, h, len(own), n) for name, own, n in known for h in own], "of string, h long, distinct int, length int")
-    rows = rows.select("doc_id", "license", F.posexplode_outer("__sh").alias("at", "sh"))
+    rows = rows.select("__row", "doc_id", "license", F.posexplode_outer("__sh").alias("at", "sh"))
     rows = rows.join(F.broadcast(parts), (F.col("license") == F.col("of")) & (F.col("sh") == F.col("h")))
-    turn = F.floor(F.col("at") / F.col("length")).cast("long")
-    rows = rows.select("doc_id", "license", "sh", "at", "distinct", F.explode_outer(F.array(turn, turn - 1)).alias("window"))
-    rows = rows.groupBy("doc_id", "license", "window", "distinct").agg(F.countDistinct("sh").alias("n"), F.min("at").cast("long").alias("first"))
-    rows = rows.withColumn("containment", F.col("n") / F.col("distinct")).where(F.col("containment") >= least)
-    return rows.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.count("*").alias("windows"), F.min("first").alias("first_word"))
+    own = Window.partitionBy("__row", "license")
+    last = F.lag("at").over(Window.partitionBy("__row", "license", "sh").orderBy("at"))
+    begin = F.greatest(F.coalesce(last, F.lit(-1)), F.col("at") - 2 * F.col("length")) + 1
+    rows = rows.withColumn("begin", begin)
+    step = lambda at, by, start: F.struct(at.alias("at"), F.lit(by).alias("by"), F.lit(start).alias("start"))
+    steps = F.array(step(F.col("begin"), 1, False), step(F.col("at") + 1, -1, False), step(F.col("at"), 0, True))
+    rows = rows.select("__row", "doc_id", "license", "distinct", F.explode(steps).alias("s")).select("__row", "doc_id", "license", "distinct", "s.*")
+    rows = rows.withColumn("n", F.sum("by").over(own.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    # the most shingles are in a window that begins at one of them
+    rows = rows.where("start").withColumn("containment", F.col("n") / F.col("distinct")).where(F.col("containment") >= least)
+    rows = rows.groupBy("__row", "doc_id", "license").agg(F.max("containment").alias("containment"), F.min("at").cast("long").alias("first_word"))
+    return rows.drop("__row")
 
 
 def _sql() -> str:
@@ -161,13 +173,14 @@ def _sql() -> str:
         rows += [f"('{name}', '{s}', {len(set(own))}, {len(own)})" for s in dict.fromkeys(own)]
     return rf"""
 WITH t(license, sh, n_distinct, length) AS (VALUES {", ".join(rows)}),
-w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
-s AS (SELECT doc_id, unnest(range(0, len(w) - {SHINGLE - 1})) AS pos, w FROM w WHERE len(w) >= {SHINGLE}),
-h AS (SELECT doc_id, pos, array_to_string(w[pos + 1:pos + {SHINGLE}], ' ') AS sh FROM s),
-m AS (SELECT h.doc_id, t.license, h.sh, h.pos, t.n_distinct, unnest([h.pos // t.length, h.pos // t.length - 1]) AS win FROM h JOIN t USING (sh)),
-g AS (SELECT doc_id, license, win, count(DISTINCT sh) / n_distinct::DOUBLE AS containment, min(pos)::BIGINT AS first FROM m GROUP BY doc_id, license, win, n_distinct)
-SELECT doc_id, license, max(containment) AS containment, count(*)::BIGINT AS windows, min(first)::BIGINT AS first_word
-FROM g WHERE containment >= {LEAST} GROUP BY doc_id, license
+w AS (SELECT row_number() OVER () AS own, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
+s AS (SELECT own, doc_id, unnest(range(0, len(w) - {SHINGLE - 1})) AS pos, w FROM w WHERE len(w) >= {SHINGLE}),
+h AS (SELECT own, doc_id, pos, array_to_string(w[pos + 1:pos + {SHINGLE}], ' ') AS sh FROM s),
+m AS (SELECT h.own, h.doc_id, t.license, h.sh, h.pos, t.n_distinct, t.length FROM h JOIN t USING (sh)),
+g AS (SELECT a.own, a.doc_id, a.license, a.pos, count(DISTINCT b.sh) / a.n_distinct::DOUBLE AS containment
+      FROM m a JOIN m b ON a.own = b.own AND a.license = b.license AND b.pos >= a.pos AND b.pos < a.pos + 2 * a.length GROUP BY a.own, a.doc_id, a.license, a.pos, a.n_distinct)
+SELECT doc_id, license, max(containment) AS containment, min(pos)::BIGINT AS first_word
+FROM g WHERE containment >= {LEAST} GROUP BY own, doc_id, license
 """
 
 

@@ -235,11 +235,42 @@ def test_licenses(spark, tmp_path):
     assert found[5, "mit-line"] == 1.0 and found[8, "cc-by-nc-4.0-line"] == 1.0 and found[0, "gpl-3.0"] == 1.0
     assert 0.8 <= found[2, "mit"] < 1.0
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, texts[1])], "doc_id long, text string")
+    # repeated rows, and two halves of one notice in rows that share an id or have none: each is a text of its own
+    half = mit.split()
+    halves = [(i, " ".join(x)) for i in (None, 77) for x in (half[:45], half[45:])]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, texts[1]), *halves], "doc_id long, text string")
+    assert sorted(r["license"] for r in license_scan.scan(docs).where("doc_id IS NULL").collect()) == ["mit"]
+    assert license_scan.scan(docs).where("doc_id = 77").count() == 0 and license_scan.scan(docs).where("doc_id = 0").count() == 2
     mine, theirs = against_duckdb(spark, tmp_path, "op10_license_bands", {"documents": docs})
     assert mine == theirs
 
 
+def plain_containment(words, template):
+    """The best share of the template's shingles in any window of twice its length, by a loop over all windows."""
+    cut = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    own, said = cut(template), cut(words)
+    return max((len(set(own) & set(said[i : i + 2 * len(own)])) / len(set(own)) for i in range(len(said))), default=0)
+
+
+def test_licenses_with_insertions_and_edits(spark):
+    """A notice split by foreign words is found wherever it stands, and every edited copy that a loop finds."""
+    import random
+
+    rng = random.Random(1)
+    mit = license_scan.template_words(license_scan.TEMPLATES["mit"])
+    lead = lambda n: [f"lead{rng.random()}".replace(".", "") for _ in range(n)]
+    texts = [[*lead(n), *mit[:45], *lead(gap), *mit[45:]] for n in range(0, 90, 3) for gap in (0, 40, 60)]
+    for name, template in license_scan.TEMPLATES.items():
+        own = license_scan.template_words(template)
+        if len(own) > 15:
+            texts += [[*lead(7), *(w if rng.random() > rate else f"edit{i}" for i, w in enumerate(own)), *lead(20)] for rate in (0.01, 0.02, 0.03, 0.04) for _ in range(8)]
+    found = scanned(spark, [" ".join(t) for t in texts])
+    for name, template in license_scan.TEMPLATES.items():
+        own = license_scan.template_words(template)
+        expected = {i: c for i, t in enumerate(texts) if (c := plain_containment(t, own)) >= license_scan.LEAST}
+        assert {i: c for (i, n), c in found.items() if n == name} == pytest.approx(expected), name
+
+
 def test_scan_is_native(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = license_scan.scan(docs)._jdf.queryExecution().toString()
