@@ -1,18 +1,9 @@
-"""Pairwise similarities as column expressions; the fuzzy ratios as one Arrow function.
-
-``indel`` is the normalised insertion-deletion similarity 2 LCS / (|a| + |b|), 1 for two empty strings. The
-sorted variant compares sorted tokens; the set variant is the best of the shared tokens against each side's
-own; the partial one the best of the shorter string against windows of the longer, cut at its ends too.
-"""
+"""Pairwise similarities as column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def exact(a: Column, b: Column) -> Column:
@@ -60,73 +51,3 @@ def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when(norm == 0, 0.0).otherwise(dot(a, b) / F.when(norm == 0, 1.0).otherwise(norm))
-
-
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, a row of the table per step as the bits of one integer."""
-    if not a or not b:
-        return 0
-    at: dict[str, int] = {}
-    for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << i
-    every = (1 << len(a)) - 1
-    row = every
-    for c in b:
-        met = row & at.get(c, 0)
-        row = (row + met | row - met) & every
-    return len(a) - row.bit_count()
-
-
-def indel(a: str, b: str) -> float:
-    return 2 * lcs(a, b) / (len(a) + len(b)) if a or b else 1.0
-
-
-def token_sort(a: str, b: str) -> float:
-    return indel(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
-
-
-def token_set(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    shared, left, right = x & y, " ".join(sorted(x - y)), " ".join(sorted(y - x))
-    if shared and (not left or not right):
-        return 1.0
-    s, gap = len(" ".join(sorted(shared))), int(bool(shared))
-    with_left, with_right = s + gap + len(left), s + gap + len(right)
-    best = 1 - (len(left) + len(right) - 2 * lcs(left, right)) / (with_left + with_right)
-    if s:
-        best = max(best, 1 - (gap + len(left)) / (s + with_left), 1 - (gap + len(right)) / (s + with_right))
-    return best
-
-
-def partial(a: str, b: str) -> float:
-    if not a or not b:
-        return float(not a and not b)
-
-    def one(short: str, long: str) -> float:
-        n, m, best = len(short), len(long), 0.0
-        for start in range(1 - n, m):
-            part = long[max(0, start) : start + n]
-            if 2 * len(part) / (n + len(part)) > best:  # the most that this window can reach
-                best = max(best, indel(short, part))
-        return best
-
-    if len(a) == len(b):
-        return max(one(a, b), one(b, a))
-    return one(a, b) if len(a) < len(b) else one(b, a)
-
-
-@F.pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("indel", "sorted", "set", "partial")]))
-def fuzzy(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    """All four ratios of each pair; equal pairs of a batch are computed once."""
-    for a, b in batches:
-        known: dict[tuple[str, str], tuple] = {}
-        rows = []
-        for pair in zip(a.fillna(""), b.fillna("")):
-            if pair not in known:
-                known[pair] = tuple(f(*pair) for f in (indel, token_sort, token_set, partial))
-            rows.append(known[pair])
-        yield pd.DataFrame(rows, columns=["indel", "sorted", "set", "partial"])
-
-

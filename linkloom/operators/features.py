@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import similarity as sim
+from linkloom.functions.fuzzy import fuzzy
 
 FEATURES = [
     "name_exact_match", "name_token_jaccard", "name_token_sort_ratio", "name_token_set_ratio", "name_partial_ratio", "name_edit_sim",
@@ -53,7 +54,7 @@ def catalyst_features(rows: DataFrame) -> DataFrame:
 
 def fuzzy_features(rows: DataFrame) -> DataFrame:
     """The fuzzy ratios, from one Arrow function per side."""
-    rows = rows.withColumns({"__n": sim.fuzzy("a_norm_name", "b_norm_name"), "__a": sim.fuzzy("a_norm_address", "b_norm_address")})
+    rows = rows.withColumns({"__n": fuzzy("a_norm_name", "b_norm_name"), "__a": fuzzy("a_norm_address", "b_norm_address")})
     rows = rows.withColumns({
         "name_edit_sim": F.col("__n.indel"), "name_token_sort_ratio": F.col("__n.sorted"), "name_token_set_ratio": F.col("__n.set"),
         "name_partial_ratio": F.col("__n.partial"), "address_edit_sim": F.col("__a.indel"), "address_partial_ratio": F.col("__a.partial"),

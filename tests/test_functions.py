@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from linkloom.functions import fold, rules, similarity, text
+from linkloom.functions import fold, fuzzy, rules, similarity, text
 
 
 def values(spark, rows, columns, *exprs):
@@ -121,28 +121,70 @@ def table_lcs(a, b):
     return row[-1]
 
 
-words = st.text(alphabet="ab c", max_size=12)
+def plain_indel(a, b):
+    return 2 * table_lcs(a, b) / (len(a) + len(b)) if a or b else 1.0
 
 
-@settings(max_examples=300, deadline=None)
-@given(words, words)
-def test_fuzzy_ratios(a, b):
-    assert similarity.lcs(a, b) == table_lcs(a, b)
-    for ratio in (similarity.indel, similarity.token_sort, similarity.token_set, similarity.partial):
-        assert 0 <= ratio(a, b) <= 1
-        assert ratio(a, b) == pytest.approx(ratio(b, a))
-    if a and b:
-        short, long = sorted((a, b), key=len)
-        windows = [long[max(0, i) : i + len(short)] for i in range(1 - len(short), len(long))]
-        best = max(similarity.indel(short, w) for w in windows)
-        assert similarity.partial(a, b) >= best - 1e-12
+def plain_sort(a, b):
+    return plain_indel(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+
+
+def plain_set(a, b):
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    join = lambda t: " ".join(sorted(t))
+    shared, left, right = join(x & y), join(x - y), join(y - x)
+    if shared and (not left or not right):
+        return 1.0
+    sides = [f"{shared} {r}".strip() for r in (left, right)]
+    # the shared tokens stand in front of both, so their distance is that of what follows
+    best = 1 - (len(left) + len(right) - 2 * table_lcs(left, right)) / (len(sides[0]) + len(sides[1]))
+    return max([best, *(plain_indel(shared, side) for side in sides if shared)])
+
+
+def plain_partial(a, b):
+    if not a or not b:
+        return float(not a and not b)
+    out = 0.0
+    for short, long in ((a, b), (b, a)):
+        if len(short) <= len(long):
+            out = max([out, *(plain_indel(short, long[max(0, i) : i + len(short)]) for i in range(1 - len(short), len(long)))])
+    return out
+
+
+PLAIN = {"indel": plain_indel, "sorted": plain_sort, "set": plain_set, "partial": plain_partial}
+words = st.text(alphabet="ab c", max_size=12) | st.text(alphabet="abcdefgh xyzé中", max_size=30)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(words, words), min_size=1, max_size=6))
+def test_fuzzy_ratios(pairs):
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
+    for name, of in fuzzy.KINDS.items():
+        assert of(a, b).tolist() == pytest.approx([PLAIN[name](x, y) for x, y in pairs]), name
+
+
+def test_fuzzy_ratios_of_long_strings(monkeypatch):
+    """Patterns of several words of bits, and tables cut into small groups."""
+    import random
+
+    rng = random.Random(2)
+    made = ["".join(rng.choice("abcd  e") for _ in range(rng.choice((0, 1, 63, 64, 65, 128, 130, 200)))) for _ in range(24)]
+    pairs = [(x, y) for x in made[:5] for y in made[5:]]
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
+    expected = {name: [PLAIN[name](x, y) for x, y in pairs] for name in ("indel", "sorted", "set")}
+    short = [(x[:40], y[:90]) for x, y in pairs[:30]]
+    for cells, lanes in ((fuzzy.CELLS, fuzzy.LANES), (1000, 50)):
+        monkeypatch.setattr(fuzzy, "CELLS", cells)
+        monkeypatch.setattr(fuzzy, "LANES", lanes)
+        for name, values in expected.items():
+            assert fuzzy.KINDS[name](a, b).tolist() == pytest.approx(values), name
+        assert fuzzy.partial([x for x, _ in short], [y for _, y in short]).tolist() == pytest.approx([plain_partial(x, y) for x, y in short])
 
 
 def test_fuzzy_known_values(spark):
-    assert similarity.indel("", "") == 1 and similarity.indel("a", "") == 0
-    assert similarity.token_sort("b a", "a b") == 1 and similarity.token_set("a b", "a b c") == 1
-    assert similarity.token_set("", "") == 0 and similarity.partial("", "") == 1 and similarity.partial("", "a") == 0
-    assert similarity.partial("abc", "xxabcxx") == 1
-    df = spark.createDataFrame([("kitten", "sitting"), (None, "a")], "a string, b string")
-    rows = [r["f"] for r in df.select(similarity.fuzzy("a", "b").alias("f")).collect()]
-    assert rows[0]["indel"] == pytest.approx(8 / 13) and rows[1]["indel"] == 0
+    rows = [("", "", 1, 1, 0, 1), ("a", "", 0, 0, 0, 0), ("b a", "a b", 1 / 3, 1, 1, 0.5), ("a b", "a b c", 0.75, 0.75, 1, 1), ("abc", "xxabcxx", 0.6, 0.6, 0.6, 1), ("kitten", "sitting", 8 / 13, 8 / 13, 8 / 13, 2 / 3), (None, "a", 0, 0, 0, 0), (None, None, 1, 1, 0, 1), ("  ", "  ", 1, 1, 0, 1)]
+    df = spark.createDataFrame([r[:2] for r in rows for _ in range(3)], "a string, b string")
+    found = [tuple(r["f"]) for r in df.select(fuzzy.fuzzy("a", "b").alias("f")).collect()]
+    assert found[::3] == found[1::3] == [pytest.approx(r[2:]) for r in rows]
