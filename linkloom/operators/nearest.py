@@ -1,28 +1,31 @@
 """Nearest-neighbour joins: character n-gram TF-IDF and dense vectors, exact, block by block.
 
-Within a country (and tag) both sides are dealt into blocks of bounded size and every pair of blocks is
-multiplied as matrices by one task, which keeps the best ``k`` of each row; a final rank merges the blocks'
-winners. Nothing is broadcast, no side is gathered, and the rows between the stages are k per row and block.
+Within a country (and tag) both sides are dealt into blocks of bounded size, each packed into one row, and every
+pair of blocks is multiplied as matrices by one task, which keeps the best ``k`` of each row; a final rank merges
+the blocks' winners. A block of the others moves once, to the task that all blocks of the first side come to; what
+is copied is packed blocks of the first side, one for each block of the others, never single rows. Nothing is
+broadcast, no side is gathered, and the rows between the stages are k per row and block.
 Similarities are rounded before ranks and thresholds so that the order does not depend on summation order.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions import text
 from linkloom.functions.similarity import cosine
 
+#: Rows of a block of the first side, and of the others.
 BLOCK_ROWS = 2000
+OTHER_ROWS = 4000
 DIGITS = 6
-#: Normalised text is lower-case letters, digits and the padding blank: the alphabet of the n-grams.
-ALPHABET = " 0123456789abcdefghijklmnopqrstuvwxyz"
-WIDTH = len(ALPHABET) + len(ALPHABET) ** 2
 
 
 def name_and_address() -> Column:
@@ -59,77 +62,108 @@ def tfidf_weights(s1: DataFrame, others: DataFrame, least: int = 2) -> DataFrame
 
 
 def term_codes(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and n-gram code of every character n-gram (1 and 2, padded words) of the strings."""
-    place = np.full(128, -1, np.int64)
-    for i, c in enumerate(ALPHABET):
-        place[ord(c)] = i
-    rows, codes = [], []
-    for r, s in enumerate(strings):
-        padded = [f" {w} " for w in s.split()]
-        one = place[np.frombuffer("".join(padded).encode("ascii", "replace"), np.uint8)]
-        ends = np.cumsum([len(p) for p in padded])
-        two = one[:-1] * len(ALPHABET) + one[1:] + len(ALPHABET)
-        two = np.delete(two, ends[:-1] - 1) if len(ends) > 1 else two
-        c = np.concatenate([one, two])
-        codes.append(c)
-        rows.append(np.full(len(c), r))
-    return (np.concatenate(rows), np.concatenate(codes)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-def matrix(strings: list[str], idf: np.ndarray) -> np.ndarray:
-    """Normalised TF-IDF rows."""
-    rows, codes = term_codes(strings)
-    tf = np.zeros((len(strings), WIDTH))
-    np.add.at(tf, (rows, codes), 1.0)
-    full = tf > 0
-    tf[full] = 1 + np.log(tf[full])
-    tf *= idf
-    norm = np.sqrt((tf * tf).sum(axis=1, keepdims=True))
-    return tf / np.where(norm == 0, 1, norm)
-
-
-def best_of_blocks(a: DataFrame, b: DataFrame, similarity, k: int, least: float, columns: str, block_rows: int = BLOCK_ROWS, extra: DataFrame | None = None) -> DataFrame:
+    """Row and n-gram code of every character n-gram (1 and 2, padded words) of the strings, whatever their characters."""
+    padded = [f" {w} " for s in strings for w in s.split()]
+    owner = np.repeat(np.arange(len(strings)), [len(s.split()) for s in strings])
+    sizes = np.fromiter(map(len, padded), np.int64, len(padded))
+    points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    rows, inner = np.repeat(owner, sizes), np.ones(len(points), bool)
+    inner[np.cumsum(sizes) - 1] = False  # no n-gram runs over a word's end
+    inner = np.flatnonzero(inner)
+    return np.concatenate([rows, rows[inner]]), np.concatenate([points, points[inner] + 1 << 21 | points[inner + 1]] if len(inner) else [points])
+
+
+def term_code(term: str) -> int:
+    return ord(term) if len(term) == 1 else ord(term[0]) + 1 << 21 | ord(term[1])
+
+
+class Weights:
+    """The inverse document frequencies of a country and tag, by n-gram code."""
+
+    def __init__(self, table: str):
+        found = sorted((term_code(t), w) for t, w in json.loads(table).items())
+        self.codes, self.idf = np.array([c for c, _ in found], np.int64), np.array([w for _, w in found])
+
+    def rows(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, place of the n-gram and weight of the entries of the normalised TF-IDF rows."""
+        rows, codes = term_codes(strings)
+        at, tf = np.unique(rows * len(self.codes) + np.searchsorted(self.codes, codes), return_counts=True)
+        row, place = at // max(1, len(self.codes)), at % max(1, len(self.codes))
+        w = (1 + np.log(tf)) * self.idf[place]
+        norm = np.sqrt(np.bincount(row, w * w, minlength=len(strings)))
+        return row, place, w / norm[row]
+
+    def matrix(self, strings: list[str], columns: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows as a dense matrix over ``columns`` (places of n-grams; those that occur, if None), and these."""
+        row, place, w = self.rows(strings)
+        columns = np.unique(place) if columns is None else columns
+        at = np.minimum(np.searchsorted(columns, place), max(0, len(columns) - 1))
+        use = columns[at] == place if len(columns) else np.zeros(len(place), bool)
+        out = np.zeros((len(strings), len(columns)))
+        out[row[use], at[use]] = w[use]
+        return out, columns
+
+
+def packed_rows(rows: pd.DataFrame) -> bytes:
+    """A table as one value."""
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_all().to_pandas()
+
+
+def best_of_blocks(a: DataFrame, b: DataFrame, prepare: Callable, k: int, least: float, column: str, block_rows: int = BLOCK_ROWS, other_rows: int = OTHER_ROWS, extra: DataFrame | None = None) -> DataFrame:
     """source1_entity_id, other_entity_id, source_tag, sim, rank of the k most similar others of every row of ``a``.
 
-    ``a``: entity_id, country_norm, source_tag and ``columns``; ``b`` the same. ``similarity`` gives the matrix
-    of two pandas blocks of one country and tag. ``extra``: one value of ``columns`` per country and tag that
-    ``similarity`` gets as well; it travels as a row without entity_id in every pair of blocks.
+    ``a``: entity_id, country_norm, source_tag and ``column``; ``b`` the same. ``prepare`` takes the ``column`` of a
+    block of the others, and gives the function that makes a block of the first side's into the matrix of
+    similarities. ``extra``: a value ``more`` per country and tag that ``prepare`` gets as well.
     """
     group = ["country_norm", "source_tag"]
 
-    def dealt(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / block_rows).cast("int").alias(f"n_{name}"))
-        return rows.join(sizes, group).withColumn(name, F.pmod(F.xxhash64("entity_id"), F.col(f"n_{name}")).cast("int")), sizes
-
-    (a, blocks_a), (b, blocks_b) = dealt(a, "block_a"), dealt(b, "block_b")
-    many = lambda rows, sizes, name: rows.join(sizes, group).withColumn(name, F.explode(F.sequence(F.lit(0), F.col(f"n_{name}") - 1)))
-    a, b = many(a, blocks_b, "block_b"), many(b, blocks_a, "block_a")
-    key = [*group, "block_a", "block_b"]
-
-    def pair(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        names = ["source1_entity_id", "other_entity_id", "source_tag", "sim"]
-        more = y.loc[y["entity_id"].isna(), columns].tolist()
-        y = y[y["entity_id"].notna()]
-        if not len(x) or not len(y):
-            return pd.DataFrame({n: [] for n in names}).astype({"sim": float})
-        y = y.sort_values("entity_id", kind="stable").reset_index(drop=True)
-        sim = np.round(similarity(x, y, *more), DIGITS)
-        order = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-        top = np.take_along_axis(sim, order, axis=1)
-        keep = top >= least
-        row, _ = np.nonzero(keep)
-        out = [x["entity_id"].to_numpy()[row], y["entity_id"].to_numpy()[order[keep]], np.full(len(row), y["source_tag"].iloc[0]), top[keep]]
-        return pd.DataFrame(dict(zip(names, out)))
-
-    schema = "source1_entity_id string, other_entity_id string, source_tag string, sim double"
-    b = b.select("entity_id", *key, columns)
-    if extra is not None:
-        everywhere = many(many(extra, blocks_a, "block_a"), blocks_b, "block_b")
-        b = b.unionByName(everywhere.select(F.lit(None).cast("string").alias("entity_id"), *key, columns))
-    # new names for one side: both may stem from the same table
-    a = a.select("entity_id", *key, columns)
-    a = a.toDF("entity_id", *[f"a_{k}" for k in key], columns)
-    found = a.groupBy(*[f"a_{k}" for k in key]).cogroup(b.groupBy(*key)).applyInPandas(pair, schema)
+    def blocks(rows: DataFrame, side: str, size: int) -> tuple[DataFrame, DataFrame]:
+        """Packed blocks of a side, and how many each country and tag has."""
+        sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / size).cast("int").alias("n"))
+        dealt = rows.join(sizes, group).withColumn("block", F.pmod(F.xxhash64("entity_id"), F.col("n")).cast("int"))
+
+        def pack(x: pd.DataFrame) -> pd.DataFrame:
+            own = x[["entity_id", column]].sort_values("entity_id", kind="stable")
+            return pd.DataFrame([(*x[["country_norm", "source_tag", "block"]].iloc[0], packed_rows(own))], columns=["c", "t", "block", "data"])
+
+        packs = dealt.select(*group, "block", "entity_id", column).groupBy(*group, "block").applyInPandas(pack, "c string, t string, block int, data binary")
+        return packs.toDF(f"c_{side}", f"t_{side}", f"block_{side}", f"data_{side}"), sizes
+
+    (first, _), (others, many) = blocks(a, "a", block_rows), blocks(b, "b", other_rows)
+    more = many if extra is None else many.join(extra, group)
+    more = more.withColumn("block_m", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumnsRenamed({"country_norm": "c_m", "source_tag": "t_m"})
+    more = more if extra is not None else more.withColumn("more", F.lit(None).cast("string"))
+    others = others.join(more, (F.col("c_b") == F.col("c_m")) & (F.col("t_b") == F.col("t_m")) & (F.col("block_b") == F.col("block_m")))
+    copies = first.join(many, (F.col("c_a") == F.col("country_norm")) & (F.col("t_a") == F.col("source_tag"))).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    met = copies.select("c_a", "t_a", "to", "data_a").join(others, (F.col("c_a") == F.col("c_b")) & (F.col("t_a") == F.col("t_b")) & (F.col("to") == F.col("block_b")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, y, similarity = None, None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tag, one, other, with_more = (c[i].as_py() for c in batch.columns)
+                if other != held:
+                    held, y = other, unpacked(other)
+                    similarity = prepare(y[column], with_more)
+                x = unpacked(one)
+                sim = np.round(similarity(x[column]), DIGITS)
+                order = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+                top = np.take_along_axis(sim, order, axis=1)
+                keep = top >= least
+                row, _ = np.nonzero(keep)
+                out = [x["entity_id"].to_numpy()[row], y["entity_id"].to_numpy()[order[keep]], np.full(len(row), tag, object)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in out), pa.array(top[keep])], ["source1_entity_id", "other_entity_id", "source_tag", "sim"])
+
+    found = met.select("t_a", "data_a", "data_b", "more").mapInArrow(run, "source1_entity_id string, other_entity_id string, source_tag string, sim double")
     order = Window.partitionBy("source_tag", "source1_entity_id").orderBy(F.desc("sim"), "other_entity_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -144,22 +178,15 @@ def tfidf(s1: DataFrame, others: DataFrame, k: int = 20, least_sim: float = 0.10
     terms = rows.select(*group, F.explode(F.array_distinct(text.char_ngrams(F.col("text")))).alias("term"))
     df = terms.groupBy(*group, "term").agg(F.count("*").alias("df")).join(docs, group)
     idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1
-    # at most WIDTH terms a group: the alphabet bounds them
-    tables = df.groupBy(*group).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("term", idf.alias("idf"))))).alias("text"))
+    # a table a group: normalised text is ASCII, which bounds its n-grams
+    tables = df.groupBy(*group).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("term", idf.alias("idf"))))).alias("more"))
 
-    def weights(table: str) -> np.ndarray:
-        out = np.zeros(WIDTH)
-        for term, w in json.loads(table).items():
-            codes = [ALPHABET.find(c) for c in term]
-            if min(codes) >= 0:
-                out[codes[0] if len(codes) == 1 else len(ALPHABET) * (1 + codes[0]) + codes[1]] = w
-        return out
+    def prepare(y: pd.Series, table: str) -> Callable[[pd.Series], np.ndarray]:
+        weights = Weights(table)
+        own, columns = weights.matrix(y.tolist())
+        return lambda x: weights.matrix(x.tolist(), columns)[0] @ own.T
 
-    def similarity(x: pd.DataFrame, y: pd.DataFrame, table: str) -> np.ndarray:
-        w = weights(table)
-        return matrix(x["text"].tolist(), w) @ matrix(y["text"].tolist(), w).T
-
-    return best_of_blocks(a, b, similarity, k, least_sim, "text", extra=tables)
+    return best_of_blocks(a, b, prepare, k, least_sim, "text", extra=tables)
 
 
 def dense(s1: DataFrame, others: DataFrame, k: int = 20, least_sim: float = 0.60, least: int = 0) -> DataFrame:
@@ -174,15 +201,16 @@ def dense(s1: DataFrame, others: DataFrame, k: int = 20, least_sim: float = 0.60
     a = s1.select("entity_id", "country_norm", F.col("embedding").cast("array<double>").alias("v"))
     a = a.join(b.select(*group).distinct(), "country_norm")
 
-    def similarity(x: pd.DataFrame, y: pd.DataFrame) -> np.ndarray:
-        def unit(rows: pd.Series) -> np.ndarray:
-            m = np.stack(rows.to_numpy())
-            n = np.sqrt((m * m).sum(axis=1, keepdims=True))
-            return m / np.where(n == 0, 1, n)
+    def unit(rows: pd.Series) -> np.ndarray:
+        m = np.stack(rows.to_numpy())
+        n = np.sqrt((m * m).sum(axis=1, keepdims=True))
+        return m / np.where(n == 0, 1, n)
 
-        return unit(x["v"]) @ unit(y["v"]).T
+    def prepare(y: pd.Series, _: None) -> Callable[[pd.Series], np.ndarray]:
+        own = unit(y)
+        return lambda x: unit(x) @ own.T
 
-    return best_of_blocks(a, b, similarity, k, least_sim, "v")
+    return best_of_blocks(a, b, prepare, k, least_sim, "v")
 
 
 __all__ = ["best_of_blocks", "cosine", "dense", "tfidf", "tfidf_weights"]
