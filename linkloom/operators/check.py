@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -36,9 +36,11 @@ def violations(rows: DataFrame, required: DataFrame, valid: DataFrame | None = N
 
 
 def report(found: DataFrame) -> DataFrame:
-    """rule, n, examples: how many offenders, and the first few in order."""
-    few = F.slice(F.array_sort(F.collect_set("offender")), 1, EXAMPLES)
-    return found.groupBy("rule").agg(F.countDistinct("offender").alias("n"), F.array_join(few, ", ").alias("examples"))
+    """rule, n, examples: how many offenders, and the first few in order; no rule's offenders are gathered."""
+    each = found.distinct()
+    rank = F.row_number().over(Window.partitionBy("rule").orderBy("offender"))
+    few = each.withColumn("at", rank).where(F.col("at") <= EXAMPLES).groupBy("rule").agg(F.array_join(F.array_sort(F.collect_list("offender")), ", ").alias("examples"))
+    return each.groupBy("rule").agg(F.count("*").alias("n")).join(few, "rule")
 
 
 def outside_candidates(matched: DataFrame, candidates: DataFrame) -> DataFrame:
