@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import sys
 import zipfile
 from pathlib import Path
@@ -28,12 +29,16 @@ def run_validate(spark: SparkSession, output_dir: str, source1: str, listed: lis
     return check.validate(spark, f"{output_dir}/matching_results.tsv", f"{output_dir}/candidate_pairs.tsv", source1, valid)
 
 
-def package(output_dir: str, zip_name: str) -> str:
-    """The result files as one archive in ``output_dir``."""
+def package(output_dir: str, zip_name: str, code: list[str] | None = None) -> str:
+    """The result files as one archive in ``output_dir``, and beside them the code and documents at ``code`` (files or folders)."""
     at = Path(output_dir, zip_name)
     with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
         for name in ("matching_results.tsv", "candidate_pairs.tsv"):
             z.write(Path(output_dir, name), f"output/{name}")
+        for top in map(Path, code or []):
+            for path in sorted(top.rglob("*")) if top.is_dir() else [top]:
+                if path.is_file() and path != at and not any(part.startswith(".") or part == "__pycache__" for part in path.relative_to(top.parent).parts):
+                    z.write(path, path.relative_to(top.parent))
     return str(at)
 
 
@@ -49,10 +54,14 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--check-ids", nargs="*", help="files of the other sources; listed ids must be in one")
         if verb == "package":
             p.add_argument("--zip-name", default="submission.zip")
+            p.add_argument("--code", nargs="*", help="files and folders that go in as well")
     args = parser.parse_args(argv)
     spark = session()
     if args.verb in ("train", "predict"):
-        done = (link.train if args.verb == "train" else link.predict)(spark, load_config(args.config))
+        cfg = load_config(args.config)
+        logging.basicConfig(format="%(asctime)s | %(levelname)s | %(name)s | %(message)s")
+        link.log.setLevel(cfg.log_level.upper())
+        done = (link.train if args.verb == "train" else link.predict)(spark, cfg)
         print(json.dumps(done, indent=1, default=str))
         return 0
     findings = run_validate(spark, args.output_dir, args.source1_ids, args.check_ids)
@@ -62,5 +71,5 @@ def main(argv: list[str] | None = None) -> int:
     if findings.errors:
         return 1
     if args.verb == "package":
-        print(package(args.output_dir, args.zip_name))
+        print(package(args.output_dir, args.zip_name, args.code))
     return 0

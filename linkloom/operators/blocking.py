@@ -52,15 +52,24 @@ class KeyBlocking:
         return a.join(_cut(b, most), ["country_norm", "key"]).select(*PAIR, F.lit(0).alias("in_rank"))
 
     def __call__(self, s1: DataFrame, others: DataFrame) -> DataFrame:
-        return self.pairs(s1, others).distinct()
+        """Each pair once: a record has one key, so it is enough that records are distinct."""
+        a, b = (x.distinct() for x in self.sides(s1, others))
+        return a.join(b, ["country_norm", "key"]).select(*PAIR, F.lit(0).alias("in_rank"))
 
     def counts(self, s1: DataFrame, others: DataFrame) -> DataFrame:
         """source_tag, n_pairs: how many pairs there are, from the blocks' sizes alone."""
-        a, b = self.sides(s1, others)
+        a, b = (x.distinct() for x in self.sides(s1, others))
         a = a.groupBy("country_norm", "key").agg(F.count("*").alias("n1"))
         b = b.groupBy("country_norm", "key", "source_tag").agg(F.count("*").alias("n2"))
         return a.join(b, ["country_norm", "key"]).groupBy("source_tag").agg(F.sum(F.col("n1") * F.col("n2")).alias("n_pairs"))
 
+    def covered(self, s1: DataFrame, others: DataFrame, truth: DataFrame) -> DataFrame:
+        """The true pairs that share a block, from their own keys: no block is multiplied out."""
+        a, b = self.sides(s1, others)
+        a = a.select("source1_entity_id", "country_norm", "key")
+        t = truth.select("source1_entity_id", F.col("source_id").alias("other_entity_id"), "source_tag").distinct()
+        return t.join(a, "source1_entity_id").join(b, ["other_entity_id", "source_tag", "country_norm", "key"]).select(*PAIR).distinct()
+
 
 class RareTokens(KeyBlocking):
     """Pairs that share a number which at most ``max_frequency`` Source-1 records of the country hold."""
@@ -79,6 +88,13 @@ class RareTokens(KeyBlocking):
         rare = token_frequency(a).where(F.col("n") <= self.max_frequency).drop("n")
         return a.join(rare, ["country_norm", "key"], "left_semi"), b
 
+    def __call__(self, s1: DataFrame, others: DataFrame) -> DataFrame:
+        """Each pair once; records have several numbers and may share more than one."""
+        return self.pairs(s1, others).distinct()
+
+    def counts(self, s1: DataFrame, others: DataFrame) -> DataFrame:
+        return self(s1, others).groupBy("source_tag").agg(F.count("*").alias("n_pairs"))
+
 
 def token_frequency(tokens: DataFrame) -> DataFrame:
     """country_norm, key, n: how many records hold each token."""
@@ -100,13 +116,17 @@ class Nearest:
     def counts(self, s1: DataFrame, others: DataFrame) -> DataFrame:
         return self(s1, others).groupBy("source_tag").agg(F.count("*").alias("n_pairs"))
 
+    def covered(self, s1: DataFrame, others: DataFrame, truth: DataFrame) -> DataFrame:
+        t = truth.select("source1_entity_id", F.col("source_id").alias("other_entity_id"), "source_tag").distinct()
+        return t.join(self(s1, others), PAIR, "left_semi").select(*PAIR)
+
 
 def strategies(cfg: Blocking) -> list:
     """The configured strategies in priority order; unknown names are refused."""
     known = {
         "name_prefix": lambda: KeyBlocking("name_prefix", lambda: F.left("norm_name", F.lit(cfg.name_prefix_len)), cfg.min_key_length),
         "name_suffix": lambda: KeyBlocking("name_suffix", lambda: F.right("norm_name", F.lit(cfg.name_suffix_len)), cfg.min_key_length),
-        "address_number": lambda: KeyBlocking("address_number", lambda: F.col("street_number"), max(cfg.min_key_length, 1)),
+        "address_number": lambda: KeyBlocking("address_number", lambda: F.col("street_number"), max(cfg.min_key_length, cfg.address_number_len, 1)),
         "address_prefix": lambda: KeyBlocking("address_prefix", lambda: F.left("norm_address", F.lit(cfg.address_prefix_len)), cfg.min_key_length),
         "rare_numeric_token": lambda: RareTokens(cfg.rare_max_frequency, cfg.min_key_length),
         "tfidf_nn": lambda: Nearest("tfidf_nn", lambda a, b: nearest.tfidf(a, b, cfg.tfidf_top_k, cfg.tfidf_min_similarity, cfg.min_key_length)),
@@ -145,11 +165,38 @@ def drop_large_blocks(others: DataFrame, key: Column, most: int) -> DataFrame:
     return others.withColumn("key", key).join(size.drop("count"), ["country_norm", "key"], "left_anti").drop("key")
 
 
+def without_large_blocks(strategy: KeyBlocking, s1: DataFrame, others: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """A strategy's pairs (a pair may occur more than once) of blocks of up to ``most`` others, and the number of larger ones by tag."""
+    a, b = strategy.sides(s1, others)
+    large = b.groupBy("country_norm", "source_tag", "key").count().where(F.col("count") > most).drop("count")
+    kept = b.join(large, ["country_norm", "source_tag", "key"], "left_anti")
+    met = large.join(a.select("country_norm", "key").distinct(), ["country_norm", "key"], "left_semi")
+    return a.join(kept, ["country_norm", "key"]).select(*PAIR, F.lit(0).alias("in_rank")), met.groupBy("source_tag").agg(F.count("*").alias("skipped"))
+
+
 def capped_union(cfg: Blocking, s1: DataFrame, others: DataFrame) -> DataFrame:
-    """The candidates: union, one row per pair, capped."""
+    """The candidates: union, one row per pair, capped. With ``skip_large_blocks``, without the pairs of large blocks."""
     most = cfg.candidate_cap if cfg.candidate_cap > 0 else None
-    limits = [n for n in (most, cfg.max_block_size) if n and n > 0]
-    return cap(first_strategy(union(strategies(cfg), s1, others, True, min(limits) if limits else None)), cfg.candidate_cap)
+    found = strategies(cfg)
+    if not cfg.skip_large_blocks:
+        return cap(first_strategy(union(found, s1, others, True, most)), cfg.candidate_cap)
+    parts = [without_large_blocks(f, s1, others, cfg.max_block_size)[0] if isinstance(f, KeyBlocking) else f.pairs(s1, others) for f in found]
+    named = [p.withColumns({"strategy_name": F.lit(f.name), "strategy_rank": F.lit(i)}) for i, (f, p) in enumerate(zip(found, parts))]
+    return cap(first_strategy(reduce(DataFrame.unionByName, named)), cfg.candidate_cap)
+
+
+def covered(found: list, s1: DataFrame, others: DataFrame, truth: DataFrame) -> DataFrame:
+    """The true pairs that any strategy has in a block."""
+    return reduce(DataFrame.unionByName, [f.covered(s1, others, truth) for f in found]).distinct()
+
+
+def diagnostics(found: list, s1: DataFrame, others: DataFrame, truth: DataFrame | None = None) -> DataFrame:
+    """source_tag, strategy_name, pairs, and with ``truth`` recall: what each strategy finds by itself, from the blocks' sizes."""
+    rows = reduce(DataFrame.unionByName, [f.counts(s1, others).select("source_tag", F.lit(f.name).alias("strategy_name"), F.col("n_pairs").cast("long").alias("pairs")) for f in found])
+    if truth is None:
+        return rows
+    own = [recall(f.covered(s1, others, truth), truth).select("source_tag", F.lit(f.name).alias("strategy_name"), "recall") for f in found]
+    return rows.join(reduce(DataFrame.unionByName, own), ["source_tag", "strategy_name"], "full")
 
 
 def unseen_countries(s1: DataFrame, others: DataFrame) -> DataFrame:

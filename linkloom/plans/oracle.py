@@ -42,6 +42,10 @@ def address_words(r: rules.Locale) -> str:
     return f"list_filter(list_transform(string_split(caddress, ' '), lambda t: {_map(r.address, 't')}), lambda t: t <> '')"
 
 
+def country_code(x: str) -> str:
+    return f"CASE WHEN trim(coalesce({x}, '')) = '' THEN 'UNKNOWN' ELSE {_map(rules.COUNTRIES, f'upper(trim({x}))')} END"
+
+
 DOCUMENTS = r"""
 src AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, (doc_id % 3 + 1)::INTEGER AS source,
         regexp_extract(text, '^[^.\n,]*', 0) AS business_name,
@@ -55,7 +59,7 @@ src AS (SELECT 'S' || x.source || '-' || x.k AS entity_id, x.source, x.business_
 
 def normalized(source: str = DOCUMENTS) -> str:
     """WITH-parts up to s1 and ot, normalised."""
-    country = f"CASE WHEN trim(coalesce(country, '')) = '' THEN 'UNKNOWN' ELSE {_map(rules.COUNTRIES, 'upper(trim(country))')} END"
+    country = country_code("country")
     return f"""{source},
 n1 AS (SELECT *, {country} AS country_norm, {clean("business_name")} AS cname, {clean("business_address")} AS caddress FROM src),
 n2 AS (SELECT *, {by_country(name_words)} AS norm_name, {by_country(address_words)} AS toks FROM n1),

@@ -38,28 +38,41 @@ def null_counts(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return one.select(F.explode(pairs).alias("p")).select("p.*")
 
 
-def check(df: DataFrame, spec: TableSpec, name: str = "table") -> None:
-    """Raise SchemaError if a column is absent or a required one holds nulls; extra columns are fine."""
+def check(df: DataFrame, spec: TableSpec, name: str = "table", may_be_empty: bool = True) -> None:
+    """Raise SchemaError if a column is absent, a required one holds nulls, or rows are needed and there are none; extra columns are fine."""
     if absent := [c for c in spec.columns if c not in df.columns]:
         raise SchemaError(f"{name}: no column {', '.join(absent)}")
+    if not may_be_empty and not df.head(1):
+        raise SchemaError(f"{name}: no rows")
     if bad := [f"{r['column']} ({r['n_null']})" for r in null_counts(df, spec.required).collect() if r["n_null"]]:
         raise SchemaError(f"{name}: nulls in {', '.join(bad)}")
 
 
-def read_tsv(spark: SparkSession, path: str, spec: TableSpec | None = None, encoding: str = "utf-8", delimiter: str = "\t") -> DataFrame:
-    """All columns as trimmed strings; the null markers are null before the trim, an empty field is empty."""
-    options = {"sep": delimiter, "header": True, "quote": '"', "escape": '"', "encoding": encoding, "multiLine": True}
+def read_tsv(spark: SparkSession, path: str, spec: TableSpec | None = None, encoding: str = "utf-8", delimiter: str = "\t", multiline: bool = False, may_be_empty: bool = True) -> DataFrame:
+    """All columns as trimmed strings; the null markers are null before the trim, an empty field is empty.
+
+    A large file is split among tasks, unless ``multiline`` (quoted fields that hold line ends).
+    """
+    options = {"sep": delimiter, "header": True, "quote": '"', "escape": '"', "encoding": encoding, "multiLine": multiline}
     raw = spark.read.options(**options).csv(path)
     raw = spark.read.options(**options).schema(T.StructType([T.StructField(c.strip(), T.StringType()) for c in raw.columns])).csv(path)
     cells = [F.when(F.col(f"`{c}`").isin(*NULLS), None).otherwise(F.trim(F.coalesce(F.col(f"`{c}`"), F.lit("")))).alias(c) for c in raw.columns]
     out = raw.select(*cells)
     if spec:
-        check(out, spec, path)
+        check(out, spec, path, may_be_empty)
     return out
 
 
 def read_source(spark: SparkSession, path: str, tag: str, **kw) -> DataFrame:
-    return read_tsv(spark, path, SOURCE, **kw).withColumn("source_tag", F.lit(tag))
+    """A source's records with its tag; one without records is an error."""
+    return read_tsv(spark, path, SOURCE, may_be_empty=False, **kw).withColumn("source_tag", F.lit(tag))
+
+
+def read_results(spark: SparkSession, path: str, spec: TableSpec = MATCHES, **kw) -> DataFrame:
+    """A result file as pairs, source1_entity_id and other_entity_id; entities without any have no row."""
+    rows = read_tsv(spark, path, spec, **kw)
+    ids = F.filter(F.transform(F.split(spec.columns[1], ","), lambda x: F.trim(x)), lambda x: x != "")
+    return rows.select("source1_entity_id", F.explode(ids).alias("other_entity_id")).distinct()
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

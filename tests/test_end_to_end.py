@@ -2,6 +2,7 @@
 
 import subprocess
 import sys
+import zipfile
 from pathlib import Path
 
 import pytest
@@ -11,6 +12,7 @@ import __spark_entry__ as contract
 from linkloom import cli
 from linkloom.config import load_config
 from linkloom.plans import link
+from linkloom.sources import tsv
 
 S1 = [
     ("1", "Acme Robotics Inc", "123 Innovation Drive, San Jose, CA 95110", "US"),
@@ -58,17 +60,26 @@ def test_train_predict_validate_package(spark, workspace, capsys):
     cfg = load_config(workspace / "c.yaml")
     measured = link.train(spark, cfg)
     assert 0 < measured["macro_f05"] <= 1 and measured["recall_after_cap"] > 0.5
+    saved = yaml.safe_load((workspace / "models" / "train_report.yaml").read_text())
+    found = saved["blocking"]
+    assert {s["strategy_name"] for s in found["strategies"]} <= set(cfg.blocking.active_strategies) and found["large_blocks_skipped"] == 0
+    assert all(found["recall_after_cap"][t] <= found["recall_ceiling"][t] <= 1 for t in ("source2", "source3"))
+    assert 0.2 <= saved["positive_rate"] <= 1 and sum(saved["importances"].values()) == pytest.approx(1)
     counts = link.predict(spark, cfg)
     assert counts["n_entities"] == 12 and counts["n_matches"] > 0
     out = workspace / "output"
+    assert yaml.safe_load((out / "predict_report.yaml").read_text())["n_entities"] == 12
+    listed = {(r["source1_entity_id"], r["other_entity_id"]) for r in tsv.read_results(spark, str(out / "matching_results.tsv")).collect()}
     read = lambda name: {line.split("\t")[0]: set(filter(None, line.split("\t")[1].split(","))) for line in (out / name).read_text().splitlines()[1:]}
     matches, candidates = read("matching_results.tsv"), read("candidate_pairs.tsv")
+    assert listed == {(k, x) for k, v in matches.items() for x in v}
     assert set(matches) == set(candidates) and all(matches[k] <= candidates[k] for k in matches)
     source1 = str(workspace / "data/test/source1.tsv")
     others = [str(workspace / f"data/test/source{n}.tsv") for n in (2, 3)]
     assert cli.main(["validate", "--output-dir", str(out), "--source1-ids", source1, "--check-ids", *others]) == 0
-    assert cli.main(["package", "--output-dir", str(out), "--source1-ids", source1]) == 0
-    assert (out / "submission.zip").exists()
+    assert cli.main(["package", "--output-dir", str(out), "--source1-ids", source1, "--code", str(workspace / "c.yaml"), str(workspace / "data")]) == 0
+    names = zipfile.ZipFile(out / "submission.zip").namelist()
+    assert {"output/matching_results.tsv", "output/candidate_pairs.tsv", "c.yaml", "data/test/source1.tsv"} <= set(names)
     (out / "matching_results.tsv").write_text("wrong\n")
     assert cli.main(["validate", "--output-dir", str(out), "--source1-ids", source1]) == 1
 
@@ -100,12 +111,27 @@ def test_contract(spark):
     assert contract.entry(spark).columns == ["source1_entity_id", "matched_entity_ids"]
 
 
-def test_entry_works_without_the_subpackage(tmp_path):
-    """A copy of the repository without the training-data operators still imports, with the other queries."""
+@pytest.mark.parametrize("left", [[], ["corpus_pipeline.py"]])
+def test_entry_works_without_the_subpackage(tmp_path, left):
+    """A copy of the repository without the training-data operators still imports, with the other queries, whether or not their pipeline is left."""
     import shutil
 
     root = Path(contract.__file__).resolve().parent
-    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    for name in ("__spark_entry__.py", *left):
+        shutil.copy(root / name, tmp_path)
     shutil.copytree(root / "linkloom", tmp_path / "linkloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'block_cap' in q and not any(k.startswith('op') for k in q) and 'pipeline' not in q"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
+
+
+def test_oracles_return_rows():
+    """No twin is green because it compares nothing with nothing."""
+    import duckdb
+
+    con = duckdb.connect()
+    for path in Path("/root/testdata/sf0.001").glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    from linkloom.plans.queries import ORACLES
+
+    for name in ("dense_topk", "unseen_countries", "latin_script", "feat_token_set", "feat_partial", "block_skip_large"):
+        assert con.execute(f"SELECT count(*) FROM ({ORACLES[name]})").fetchone()[0] > 0, name

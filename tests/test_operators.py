@@ -87,7 +87,7 @@ def test_empty_sides(records):
 def test_nearest_blocks_agree(records):
     s1, others = records
     one = {tuple(r) for r in nearest.tfidf(s1, others).collect()}
-    was, nearest.best_of_blocks.__defaults__ = nearest.best_of_blocks.__defaults__, (7, None)
+    was, nearest.best_of_blocks.__defaults__ = nearest.best_of_blocks.__defaults__, (7, 5, None)
     try:
         assert {tuple(r) for r in nearest.tfidf(s1, others).collect()} == one
     finally:
@@ -99,15 +99,55 @@ def test_nearest_blocks_agree(records):
     assert one and all(abs(exact[a, b] - s) < 2e-6 for a, b, _, s, _ in one)
 
 
+def test_similarity_of_odd_characters(spark):
+    """Control characters are n-grams like any other, not those of another letter."""
+    make = lambda p: [(f"{p}-{i}", "US", name, "1 st") for i, name in enumerate(["a\x01b", "ab", "zz", "a\x01c", "é中"])]
+    schema = "entity_id string, country_norm string, norm_name string, norm_address string"
+    s1, others = spark.createDataFrame(make("S1"), schema), spark.createDataFrame(make("S2"), schema).withColumn("source_tag", F.lit("source2"))
+    found = {(r["source1_entity_id"], r["other_entity_id"]): r["sim"] for r in nearest.tfidf(s1, others, 20, 0.0).collect()}
+    w = nearest.tfidf_weights(s1, others).collect()
+    vector = lambda side, i: {r["term"]: r["weight"] for r in w if r["side"] == side and r["entity_id"] == i}
+    for (a, b), sim in found.items():
+        x, y = vector(1, a), vector(2, b)
+        assert sim == pytest.approx(sum(x[t] * y.get(t, 0.0) for t in x), abs=2e-6)
+    assert len(found) == 25 and all(found[f"S1-{i}", f"S2-{i}"] == 1 for i in range(5))
+
+
+def plain_features(a, b):
+    """All features of two records, by the definitions."""
+    from test_functions import plain_indel, plain_partial, plain_set, plain_sort
+
+    (na, aa, sa, ca, la), (nb, ab, sb, cb, lb) = a, b
+    jaccard = lambda x, y: len(set(x.split()) & set(y.split())) / len(set(x.split()) | set(y.split())) if x.split() or y.split() else 1.0
+    length = lambda x, y: min(len(x), len(y)) / max(len(x), len(y)) if x or y else 1.0
+    prefix = next((i for i in range(min(len(na), len(nb))) if na[i] != nb[i]), min(len(na), len(nb)))
+    missing = lambda x, y: float(not x.strip() or not y.strip())
+    return {
+        "name_exact_match": float(na == nb), "name_token_jaccard": jaccard(na, nb), "name_token_sort_ratio": plain_sort(na, nb), "name_token_set_ratio": plain_set(na, nb),
+        "name_partial_ratio": plain_partial(na, nb), "name_edit_sim": plain_indel(na, nb), "name_common_prefix_len": prefix / max(len(na), len(nb)) if na or nb else 1.0,
+        "name_len_ratio": length(na, nb), "address_exact_match": float(aa == ab), "address_token_overlap": jaccard(aa, ab), "address_edit_sim": plain_indel(aa, ab),
+        "address_partial_ratio": plain_partial(aa, ab), "street_number_match": 0.5 if not sa or not sb else float(sa == sb), "address_len_ratio": length(aa, ab),
+        "is_landmark_s1": float(la), "is_landmark_other": float(lb), "country_agree": float(ca == cb), "name_missing": missing(na, nb), "address_missing": missing(aa, ab),
+        "name_address_combined_sim": (plain_indel(na, nb) + plain_indel(aa, ab)) / 2,
+    }
+
+
 def test_features(records):
+    """Every value of every feature, of pairs that block and of others, and of an id without a record."""
     s1, others = records
-    pairs = blocking.capped_union(Blocking(active_strategies=KEYED), s1, others).select(*blocking.PAIR).limit(50)
+    pairs = blocking.capped_union(Blocking(active_strategies=KEYED), s1, others).select(*blocking.PAIR).limit(150)
     lost = pairs.limit(1).withColumn("other_entity_id", F.lit("S2-lost"))
-    rows = features.features(pairs.unionByName(lost), s1, others)
+    two = others.select("entity_id", "source_tag").limit(4).collect()
+    odd = [(r["entity_id"], *other) for r in s1.collect() for other in two]
+    rows = features.features(pairs.unionByName(lost).unionByName(pairs.sparkSession.createDataFrame(odd, pairs.schema)), s1, others)
     assert rows.columns == [*blocking.PAIR, *features.FEATURES] and len(features.FEATURES) == 20
-    for r in rows.collect():
-        assert all(0 <= r[f] <= 1 for f in features.FEATURES)
-        assert r["country_agree"] == float(r["other_entity_id"] != "S2-lost")
+    record = lambda r: (r["norm_name"], r["norm_address"], r["street_number"] or "", r["country_norm"], r["is_landmark"])
+    at = {r["entity_id"]: record(r) for side in (s1, others) for r in side.collect()}
+    found = rows.collect()
+    assert len(found) > 200
+    for r in found:
+        expected = plain_features(at[r["source1_entity_id"]], at.get(r["other_entity_id"], ("", "", "", "", 0)))
+        assert {f: r[f] for f in features.FEATURES} == pytest.approx(expected)
 
 
 def by_entity(spark, pred, true):
@@ -198,6 +238,48 @@ def test_tsv(spark, tmp_path):
     assert (tmp_path / "out.tsv").read_text() == "k\tv\na\t\nb\tx,y\n"
 
 
+def test_tsv_empty_and_multiline(spark, tmp_path):
+    path = tmp_path / "e.tsv"
+    path.write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n")
+    with pytest.raises(tsv.SchemaError, match="no rows"):
+        tsv.read_source(spark, str(path), "source2")
+    assert tsv.read_tsv(spark, str(path), tsv.SOURCE).count() == 0
+    path.write_text('a\tb\n1\t"two\nlines"\n2\tx\n')
+    assert sorted(map(tuple, tsv.read_tsv(spark, str(path), multiline=True).collect())) == [("1", "two\nlines"), ("2", "x")]
+    path.write_text("a\tb\n" + "".join(f"{i}\tv{i}\n" for i in range(50_000)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = tsv.read_tsv(spark, str(path))
+        assert rows.rdd.getNumPartitions() > 3 and rows.count() == 50_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
+def test_exact_counts_in_hash_order(spark):
+    """Splits and samples of any size are the first in md5 order, without a sort of all rows."""
+    import hashlib
+
+    ids = spark.createDataFrame([(f"e{i}",) for i in range(500)], "entity_id string")
+    order = sorted((hashlib.md5(f"3|e{i}".encode()).hexdigest(), f"e{i}") for i in range(500))
+    for fraction in (0.0, 0.13, 0.999, 1.0):
+        n = max(1, int(500 * fraction))
+        held = {r["entity_id"] for r in training.split_entities(ids, fraction, 3).where("part = 'validation'").collect()}
+        assert held == {e for _, e in order[:n]}
+    rows = spark.createDataFrame([("a", str(i), "t", int(i < 4)) for i in range(60)], "source1_entity_id string, other_entity_id string, source_tag string, label int")
+    for ratio in (0, 1, 7, 50):
+        found = {r["other_entity_id"] for r in training.sample_negatives(rows, ratio, 1).collect()}
+        negatives = sorted((hashlib.md5(f"1|a|{i}|t".encode()).hexdigest(), str(i)) for i in range(4, 60))
+        assert found == {"0", "1", "2", "3"} | {i for _, i in negatives[: 4 * ratio]}
+    assert training.positive_rate(rows) == pytest.approx(4 / 60) and training.positive_rate(rows.limit(0)) == 0
+    assert training.split_entities(ids.limit(0), 0.5, 1).collect() == []
+
+
+def test_report_keeps_a_few_of_very_many(spark):
+    found = spark.createDataFrame([("r", f"o{i % 300:03}") for i in range(900)] + [("s", "x")], "rule string, offender string")
+    assert sorted(map(tuple, check.report(found).collect())) == [("r", 300, "o000, o001, o002, o003, o004"), ("s", 1, "x")]
+
+
 def test_checks(spark, tmp_path):
     ids = tmp_path / "s1.tsv"
     ids.write_text("entity_id\tn\nS1-1\ta\nS1-2\tb\nS1-3\tc\n")
@@ -222,7 +304,7 @@ def test_checks(spark, tmp_path):
 
 def test_settings(tmp_path, monkeypatch):
     path = tmp_path / "c.yaml"
-    path.write_text("random_seed: 7\nunknown: 1\nblocking:\n  candidate_cap: 5\n  nothing: 2\npaths:\n  data_dir: here\n")
+    path.write_text("random_seed: 7\nblocking:\n  candidate_cap: 5\npaths:\n  data_dir: here\ntraining:\n")
     monkeypatch.setenv("LINKLOOM_DATA_DIR", "there")
     monkeypatch.setenv("LINKLOOM_USE_DENSE", "1")
     cfg = load_config(path)
@@ -231,6 +313,85 @@ def test_settings(tmp_path, monkeypatch):
     assert load_config(path).blocking.use_dense_embedding is False
     monkeypatch.chdir(tmp_path)
     assert load_config().decision.default_threshold == 0.5
+    with pytest.raises(FileNotFoundError):
+        load_config(tmp_path / "none.yaml")
+
+
+NESTED = """
+blocking:
+  active_strategies: [name_prefix, address_prefix]
+  name_prefix: {prefix_len: 3}
+  name_suffix: {suffix_len: 4}
+  address_number: {min_token_len: 2}
+  address_prefix: {prefix_len: 9}
+  rare_numeric_token: {max_frequency: 7}
+  tfidf_nn: {top_k: 3, min_similarity: 0.4, max_features: 200000, ngram_range: [1, 2], analyzer: char_wb}
+  dense_embedding_nn: {top_k: 2, min_similarity: 0.9, model_name: any, batch_size: 1}
+io: {chunk_size: 10, source_encoding: latin-1, delimiter: ";"}
+models:
+  lightgbm: {n_estimators: 11, num_leaves: 63}
+  xgboost: {n_estimators: 12, max_depth: 4}
+  ensemble: {weights: [1, 2]}
+  active_model: lightgbm
+features: {name_edit_low_threshold: 0.5}
+normalization: {name_max_tokens: 8}
+logging: {level: DEBUG, format: x}
+"""
+
+
+def test_nested_settings_steer(tmp_path, records):
+    (tmp_path / "n.yaml").write_text(NESTED)
+    cfg = load_config(tmp_path / "n.yaml")
+    b, m = cfg.blocking, cfg.models
+    assert (b.name_prefix_len, b.name_suffix_len, b.address_number_len, b.address_prefix_len, b.rare_max_frequency) == (3, 4, 2, 9, 7)
+    assert (b.tfidf_top_k, b.tfidf_min_similarity, b.dense_top_k, b.dense_min_similarity) == (3, 0.4, 2, 0.9)
+    assert (cfg.files.encoding, cfg.files.delimiter, cfg.log_level) == ("latin-1", ";", "DEBUG")
+    assert (m.active_model, m.gbt_trees, m.forest_trees, m.forest_depth, m.weights) == ("boosted", 11, 12, 4, [1, 2])
+    s1, others = records
+    keys = {(r["a"], r["b"]) for r in blocking.strategies(b)[0](s1, others).select(F.col("source1_entity_id").alias("a"), F.col("other_entity_id").alias("b")).collect()}
+    one = {(r["entity_id"], r["norm_name"][:3], r["country_norm"]) for r in s1.collect()}
+    two = {(r["entity_id"], r["norm_name"][:3], r["country_norm"]) for r in others.collect()}
+    assert keys == {(x[0], y[0]) for x in one for y in two if x[1:] == y[1:] and len(x[1]) >= 2}
+
+
+@pytest.mark.parametrize("text", ["blocking: {candidat_cap: 5}", "nothing: 1", "blocking: {name_prefix: {len: 2}}", "blocking: {tfidf_nn: {ngram_range: [1, 3]}}", "models: {catboost: {depth: 3}}"])
+def test_unknown_settings_are_refused(tmp_path, text):
+    (tmp_path / "c.yaml").write_text(text)
+    with pytest.raises(ValueError, match="unknown setting|only"):
+        load_config(tmp_path / "c.yaml")
+
+
+def test_large_blocks_are_skipped_on_request(records):
+    s1, others = records
+    cfg = Blocking(active_strategies=["name_prefix"], candidate_cap=0, max_block_size=3, skip_large_blocks=True)
+    found = {(r["source1_entity_id"], r["other_entity_id"]) for r in blocking.capped_union(cfg, s1, others).collect()}
+    a, b = s1.collect(), others.collect()
+    key = lambda r: (r["country_norm"], r["norm_name"][:5])
+    size = {}
+    for r in b:
+        size[*key(r), r["source_tag"]] = size.get((*key(r), r["source_tag"]), 0) + 1
+    assert found == {(x["entity_id"], y["entity_id"]) for x in a for y in b if key(x) == key(y) and len(key(x)[1]) >= 2 and size[*key(y), y["source_tag"]] <= 3}
+    skipped = blocking.without_large_blocks(blocking.strategies(cfg)[0], s1, others, 3)[1].agg(F.sum("skipped")).first()[0] or 0
+    assert skipped == sum(n > 3 and len(k[1]) >= 2 and any(key(x) == k[:2] for x in a) for k, n in size.items())
+
+
+def test_diagnostics_and_coverage(spark, records):
+    """Counts from blocks' sizes, and recall from the true pairs' own keys, against the pairs themselves."""
+    s1, others = records
+    found = blocking.strategies(Blocking(active_strategies=KEYED))
+    ids = [r["entity_id"] for r in s1.orderBy("entity_id").collect()]
+    truth = spark.createDataFrame([(a, r["entity_id"], r["source_tag"]) for i, r in enumerate(others.orderBy("entity_id").collect()) for a in (ids[i % len(ids)], ids[(3 * i + 1) % len(ids)])], "source1_entity_id string, source_id string, source_tag string").distinct()
+    by = {(r["source_tag"], r["strategy_name"]): (r["pairs"], r["recall"]) for r in blocking.diagnostics(found, s1, others, truth).collect()}
+    everything = set()
+    for f in found:
+        pairs = {(r["source_tag"], r["source1_entity_id"], r["other_entity_id"]) for r in f(s1, others).collect()}
+        everything |= pairs
+        for tag in ("source2", "source3"):
+            own, true = {p for p in pairs if p[0] == tag}, {(t, a, b) for a, b, t in map(tuple, truth.collect()) if t == tag}
+            n, share = by.get((tag, f.name), (None, None))
+            assert (n or 0) == len(own) and share == pytest.approx(len(own & true) / len(true))
+    met = {(r["source_tag"], r["source1_entity_id"], r["other_entity_id"]) for r in blocking.covered(found, s1, others, truth).collect()}
+    assert met == everything & {(t, a, b) for a, b, t in map(tuple, truth.collect())}
 
 
 def test_gbt_score_learns_from_every_feature_with_the_default_models(spark, monkeypatch):
