@@ -3,15 +3,18 @@
 Documents are range-partitioned and sorted by doc_id, tokenised, and cut into shards of about
 ``SHARD_TOKENS``. A shard's tokens are renumbered to the ids it uses and stored as a wavelet matrix: a bit
 plane per level, the most significant bit first, with the zeros of each level moved ahead of its ones for
-the next. Counts of ones at every ``BLOCK`` bits give rank in one step; select searches them. From one file
-come the token at a position, how often an id occurs, and where.
+the next. The file holds the ones in every ``BLOCK`` bits of a plane, whose running sums give rank in one step
+and which select searches, and each plane in parts of ``PART`` bits that are compressed by themselves. So the
+token at a position, how often an id occurs, and where, each open one part a level, not the file; whole
+documents are read back by undoing the levels.
 
 Layout of a file: ``MAGIC``, the header's length (4 bytes, little-endian), a JSON header, then the sections
-that it lists, each compressed with Zstandard: document ids (null as the smallest 64-bit integer), documents'
-token counts, the alphabet, and for each level its plane.
+that it lists, each a Zstandard frame: document ids (null as the smallest 64-bit integer), documents' token
+counts, the alphabet, for each level the ones of its blocks, and for each level the parts of its plane.
 
 Edge cases: null text is empty and consists of the end id; null doc_ids come last; equal doc_ids are ordered
-by text; an empty table gives no file and no rows; extra columns are not read.
+by text; a text longer than a shard is a shard of its own; an empty table gives no file and no rows; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +38,16 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import fresh_dir, slices, written
 from linkloom.llm.files import contents, put
 
-MAGIC = b"LLWM0001"
+MAGIC = b"LLWM0002"
+#: Bits of a plane for each stored count, and for each frame.
 BLOCK = 512
+PART = 1 << 19
 SHARD_TOKENS = 4 << 20
 END_ID = 2
 NULL_ID = np.iinfo(np.int64).min
 CACHE_PIECES = 600_000
+#: New pieces that the library sees at once.
+TOGETHER = 20_000
 #: White space as the vocabulary's splitter has it (fixed: the Unicode property White_Space).
 #: First for Python's patterns, then for Arrow's.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -63,6 +71,8 @@ class Tokens:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        if hasattr(self.library.model, "_resize_cache"):  # pieces are kept here, so the library's own bank only costs
+            self.library.model._resize_cache(0)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.n_bytes = np.zeros(self.library.get_vocab_size(), np.int64)  # a byte-level token has a character per byte
         for token, i in self.library.get_vocab(with_added_tokens=False).items():
@@ -79,26 +89,31 @@ class Tokens:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def learn(self, pieces: list[str]) -> np.ndarray:
-        """The place of each piece in ``begun`` and ``sizes``; none may end in white space."""
+    def learn(self, pieces: list[str], n_bytes: np.ndarray | None = None) -> np.ndarray:
+        """The place of each of these distinct pieces in ``begun`` and ``sizes``; none may end in white space.
+
+        ``n_bytes``: their lengths in UTF-8, if known.
+        """
         if len(self.index) > CACHE_PIECES:
             self.forget()
-        index = self.index
-        new = [p for p in dict.fromkeys(pieces) if p not in index]
-        if new:
+        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            new = [pieces[i] for i in unknown.tolist()]
+            size = np.fromiter((len(p.encode()) for p in new), np.int64, len(new)) if n_bytes is None else n_bytes[unknown]
             lists, counts = [], []
-            for at in range(0, len(new), 4000):
-                some = new[at : at + 4000]
-                ids = self.whole("".join(some))
-                ends = np.cumsum(np.fromiter((len(p.encode()) for p in some), np.int64, len(some)))
+            for a in range(0, len(new), TOGETHER):
+                ids = self.whole("".join(new[a : a + TOGETHER]))
+                ends = np.cumsum(size[a : a + TOGETHER])
                 counts.append(np.diff(np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="right"), prepend=0))
                 lists.append(ids)
             counts, have = np.concatenate(counts), len(self.begun)
             self.begun = np.concatenate([self.begun, len(self.flat) + np.cumsum(counts) - counts])
             self.sizes = np.concatenate([self.sizes, counts])
             self.flat = np.concatenate([self.flat, *lists])
-            index.update(zip(new, range(have, have + len(new))))
-        return np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces))
+            self.index.update(zip(new, range(have, have + len(new))))
+            at[unknown] = np.arange(have, have + len(new))
+        return at
 
     def gathered(self, at: np.ndarray) -> np.ndarray:
         """The ids of the pieces at these places, one after another."""
@@ -110,7 +125,8 @@ class Tokens:
             return self.whole(text)
         pieces = self.piece.findall(text)
         last = self.whole(pieces.pop()) if pieces and self.blank_end.search(pieces[-1]) else np.zeros(0, np.uint32)
-        return np.concatenate([self.gathered(self.learn(pieces)), last])
+        places = dict(zip(distinct := list(dict.fromkeys(pieces)), self.learn(distinct).tolist()))
+        return np.concatenate([self.gathered(np.array([places[p] for p in pieces], np.int64)), last])
 
     def texts(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (null: none)."""
@@ -126,9 +142,10 @@ class Tokens:
         for s in self.special:
             odd = pc.or_(odd, pc.match_substring(coded.dictionary, s))
         odd = odd.to_numpy(zero_copy_only=False)
-        pieces = coded.dictionary.filter(pa.array(~odd)).to_pylist()
+        pieces = coded.dictionary.filter(pa.array(~odd))
+        pieces = pc.if_else(pc.starts_with(pieces, "\n"), pieces, pc.binary_join_element_wise("", pieces, " "))
         place = np.full(len(odd), -1)
-        place[~odd] = self.learn([p if p[0] == "\n" else " " + p for p in pieces])
+        place[~odd] = self.learn(pieces.to_pylist(), pc.binary_length(pieces).to_numpy().astype(np.int64))
         # of each text's pieces the first is empty: what stood before the added newline
         inner = np.ones(len(at), bool)
         inner[offsets[:-1]] = False
@@ -160,67 +177,88 @@ def build(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, name: str) -
     level = max(1, int(len(alphabet) - 1).bit_length())
     x = code.astype(np.uint16 if level <= 16 else np.uint32)[ids]
     zstd = zstandard.ZstdCompressor(level=1)
-    sections, zeros = [doc_ids.astype("<i8").tobytes(), counts.astype("<u4").tobytes(), alphabet.astype("<u4").tobytes()], []
+    sections, ranks, planes, zeros = [doc_ids.astype("<i8").tobytes(), counts.astype("<u4").tobytes(), alphabet.astype("<u4").tobytes()], [], [], []
     for bit in range(level - 1, -1, -1):
         ones = (x >> bit & 1).astype(bool)
         low = x[~ones]
         zeros.append(len(low))
-        sections.append(np.packbits(ones, bitorder="little").tobytes())
+        plane = np.packbits(ones, bitorder="little")
+        ranks.append(block_ones(plane).astype("<u2").tobytes())
+        planes += [plane[at : at + PART // 8].tobytes() for at in range(0, len(plane), PART // 8)]
         x = np.concatenate([low, x[ones]])
-    packed = [zstd.compress(s) for s in sections]
+    packed = [zstd.compress(s) for s in [*sections, *ranks, *planes]]
     head = json.dumps({"shard": name, "docs": len(doc_ids), "tokens": len(ids), "zeros": zeros, "sections": [len(p) for p in packed]}).encode()
     return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *packed])
 
 
+def block_ones(plane: np.ndarray) -> np.ndarray:
+    """Ones in every BLOCK bits of a plane."""
+    per = BLOCK // 8
+    return np.bitwise_count(np.pad(plane, (0, -len(plane) % per)).view(np.uint64)).reshape(-1, per // 8).sum(axis=1, dtype=np.int64)
+
+
 class Shard:
-    """A shard's file in memory, with access, rank, select, counting and occurrence lookup."""
+    """A shard's file, with access, rank, select, counting and occurrence lookup; frames are opened as they are needed."""
 
     def __init__(self, content: bytes):
         if content[: len(MAGIC)] != MAGIC:
             raise ValueError("not a token shard")
         at = len(MAGIC) + 4
         size = int.from_bytes(content[at - 4 : at], "little")
-        self.head = json.loads(content[at : at + size])
-        at += size
-        zstd, parts = zstandard.ZstdDecompressor(), []
-        for n in self.head["sections"]:
-            parts.append(zstd.decompress(content[at : at + n]))
-            at += n
+        self.content, self.head = content, json.loads(content[at : at + size])
+        self.ends = at + size + np.cumsum(self.head["sections"])
         self.name, self.n, self.zeros = self.head["shard"], self.head["tokens"], self.head["zeros"]
-        self.doc_ids, self.counts = np.frombuffer(parts[0], "<i8"), np.frombuffer(parts[1], "<u4")
-        self.alphabet = np.frombuffer(parts[2], "<u4")
-        self.planes = [np.frombuffer(p, np.uint8) for p in parts[3:]]
-        self._ranks: list[np.ndarray] | None = None
-
-    @property
-    def ranks(self) -> list[np.ndarray]:
-        """Ones before every BLOCK bits of each plane."""
-        if self._ranks is None:
-            per = BLOCK // 8
-            self._ranks = []
-            for p in self.planes:
-                ones = np.bitwise_count(np.pad(p, (0, -len(p) % per))).reshape(-1, per).sum(axis=1, dtype=np.int64)
-                self._ranks.append(np.concatenate([[0], np.cumsum(ones)]))
-        return self._ranks
+        self.opened: dict[int, bytes] = {}
+        self.doc_ids, self.counts = np.frombuffer(self.frame(0), "<i8"), np.frombuffer(self.frame(1), "<u4")
+        self.alphabet = np.frombuffer(self.frame(2), "<u4")
+        self.levels, self.parts = len(self.zeros), -(-self.n // PART)
+        self._ranks: dict[int, np.ndarray] = {}
+
+    def frame(self, i: int) -> bytes:
+        """A section; up to 64 stay open."""
+        if i not in self.opened:
+            if len(self.opened) >= 64:
+                self.opened.pop(next(iter(self.opened)))
+            size = self.head["sections"][i]
+            self.opened[i] = zstandard.ZstdDecompressor().decompress(self.content[self.ends[i] - size : self.ends[i]])
+        return self.opened[i]
+
+    def part(self, level: int, i: int) -> np.ndarray:
+        """The part of a plane that holds bit ``i``."""
+        return np.frombuffer(self.frame(3 + self.levels + level * self.parts + i // PART), np.uint8)
+
+    def plane(self, level: int) -> np.ndarray:
+        own = 3 + self.levels + level * self.parts
+        sizes, zstd = self.head["sections"], zstandard.ZstdDecompressor()
+        return np.frombuffer(b"".join(zstd.decompress(self.content[self.ends[i] - sizes[i] : self.ends[i]]) for i in range(own, own + self.parts)), np.uint8)
+
+    def ranks(self, level: int) -> np.ndarray:
+        """Ones before every BLOCK bits of a plane, summed from the counts in the file."""
+        if level not in self._ranks:
+            self._ranks[level] = np.concatenate([[0], np.cumsum(np.frombuffer(self.frame(3 + level), "<u2"), dtype=np.int64)])
+        return self._ranks[level]
 
     def ones(self, level: int, i: int) -> int:
-        """Ones among the first ``i`` bits of a plane."""
-        block, plane = i // BLOCK, self.planes[level]
-        part = plane[block * BLOCK // 8 : (i + 7) // 8]
-        n = int(np.bitwise_count(part).sum())
-        if i % 8:
-            n -= int(part[-1] >> (i % 8)).bit_count()
-        return int(self.ranks[level][block]) + n
+        """Ones among the first ``i`` bits of a plane: the sum up to its block, and those in the block."""
+        block = i // BLOCK
+        n = int(self.ranks(level)[block])
+        if i % BLOCK:
+            at = block * BLOCK % PART // 8
+            own = self.part(level, i)[at : at + (i % BLOCK + 7) // 8]
+            n += int(np.bitwise_count(own).sum())
+            if i % 8:
+                n -= int(own[-1] >> (i % 8)).bit_count()
+        return n
 
     def bit(self, level: int, i: int) -> int:
-        return int(self.planes[level][i // 8] >> (i % 8)) & 1
+        return int(self.part(level, i)[i % PART // 8] >> (i % 8)) & 1
 
     def access(self, i: int) -> int:
         """The id at a position."""
         if not 0 <= i < self.n:
             raise IndexError(i)
         code = 0
-        for level in range(len(self.planes)):
+        for level in range(self.levels):
             one = self.bit(level, i)
             code = code << 1 | one
             i = self.zeros[level] + self.ones(level, i) if one else i - self.ones(level, i)
@@ -232,8 +270,8 @@ class Shard:
         if code == len(self.alphabet) or self.alphabet[code] != token:
             return 0, 0
         a, b = 0, self.n if to is None else to
-        for level in range(len(self.planes)):
-            one = code >> (len(self.planes) - 1 - level) & 1
+        for level in range(self.levels):
+            one = code >> (self.levels - 1 - level) & 1
             ra, rb = self.ones(level, a), self.ones(level, b)
             a, b = (self.zeros[level] + ra, self.zeros[level] + rb) if one else (a - ra, b - rb)
         return a, b
@@ -248,10 +286,11 @@ class Shard:
 
     def place(self, level: int, k: int, one: int) -> int:
         """The position of the k-th (from 0) bit of a kind in a plane: blocks first, then bits."""
-        r = self.ranks[level]
+        r = self.ranks(level)
         before = r if one else np.minimum(np.arange(len(r)) * BLOCK, self.n) - r
         block = int(np.searchsorted(before, k, side="right")) - 1
-        bits = np.unpackbits(self.planes[level][block * BLOCK // 8 : (block + 1) * BLOCK // 8], bitorder="little")
+        at = block * BLOCK % PART // 8
+        bits = np.unpackbits(self.part(level, block * BLOCK)[at : at + BLOCK // 8], bitorder="little")
         return block * BLOCK + int(np.flatnonzero(bits[: self.n - block * BLOCK] == one)[k - int(before[block])])
 
     def select(self, token: int, k: int) -> int:
@@ -260,8 +299,8 @@ class Shard:
         if not 0 <= k < b - a:
             raise IndexError(k)
         code, i = int(np.searchsorted(self.alphabet, token)), a + k
-        for level in range(len(self.planes) - 1, -1, -1):
-            one = code >> (len(self.planes) - 1 - level) & 1
+        for level in range(self.levels - 1, -1, -1):
+            one = code >> (self.levels - 1 - level) & 1
             i = self.place(level, i - self.zeros[level] if one else i, one)
         return i
 
@@ -270,12 +309,12 @@ class Shard:
 
     def tokens(self) -> np.ndarray:
         """All ids, in order: the levels undone from the last to the first."""
-        x = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
-        for level in range(len(self.planes) - 1, -1, -1):
-            ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+        x = np.zeros(self.n, np.uint16 if self.levels <= 16 else np.uint32)
+        for level in range(self.levels - 1, -1, -1):
+            ones = np.unpackbits(self.plane(level), count=self.n, bitorder="little").view(bool)
             z, up = self.zeros[level], np.empty_like(x)
             up[~ones] = x[:z]
-            up[ones] = x[z:] | x.dtype.type(1 << (len(self.planes) - 1 - level))
+            up[ones] = x[z:] | x.dtype.type(1 << (self.levels - 1 - level))
             x = up
         return self.alphabet[x] if self.n else np.zeros(0, np.uint32)
 
@@ -340,7 +379,7 @@ def read_shards(shards: DataFrame, directory: str) -> DataFrame:
     starts = shards.select(F.col("shard").alias("own"), F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
     files = contents(shards.sparkSession, directory, "*.wm").select("content")
     rows = files.mapInArrow(run, "shard string, doc_id long, at long, n_tokens long, ids_crc32 long")
-    rows = rows.join(starts, rows["shard"] == starts["own"])
+    rows = rows.join(starts, rows["shard"] == starts["own"])  # and only what the table of shards names
     return rows.select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -63,8 +63,10 @@ def test_caches_are_bounded(monkeypatch):
         assert len(coder.pieces.index) <= 20 + 30 and len(coder.words.index) <= 40 + 31
 
 
+@pytest.mark.parametrize("part", [wavelet.PART, 1024])
 @pytest.mark.parametrize("top", [1, 2, 300, 70000])
-def test_shard(top):
+def test_shard(top, part, monkeypatch):
+    monkeypatch.setattr(wavelet, "PART", part)
     ids = np.random.default_rng(top).integers(0, top, 3000).astype(np.uint32)
     shard = wavelet.Shard(wavelet.build(np.arange(3), np.array([1000, 0, 2000]), ids, "x"))
     assert shard.tokens().tolist() == ids.tolist()
@@ -73,12 +75,39 @@ def test_shard(top):
         at = np.flatnonzero(ids == token).tolist()
         assert shard.count(token) == len(at) and shard.rank(token, 1234) == sum(a < 1234 for a in at)
         assert [shard.select(token, k) for k in range(min(5, len(at)))] == at[:5]
+        if len(at) < 500:
+            assert shard.occurrences(token) == at
     with pytest.raises(IndexError):
         shard.access(3000)
     with pytest.raises(IndexError):
         shard.select(top + 5, 0)
 
 
+def test_shard_opens_what_it_needs():
+    """Of a file of some MB, access and a count open a part of each level, with the stored counts, not the planes."""
+    ids = np.random.default_rng(9).integers(0, 30_000, 3_000_000).astype(np.uint32)
+    shard = wavelet.Shard(wavelet.build(np.arange(1), np.array([len(ids)]), ids, "x"))
+    assert shard.parts > 5 and shard.levels == 15
+    sections = len(shard.head["sections"])
+    assert shard.access(1_234_567) == ids[1_234_567] and len(shard.opened) <= 3 + 2 * shard.levels < sections / 2
+    token = int(ids[77])
+    at = np.flatnonzero(ids == token)
+    assert shard.count(token) == len(at) and shard.occurrences(token) == at.tolist()
+    assert np.array_equal(shard.tokens(), ids)
+
+
+def test_long_texts_are_encoded_whole(libraries):
+    """A text of several MB, white space of every kind, in both encoders."""
+    import random
+
+    rng = random.Random(8)
+    text = "".join(rng.choice(["word", "another", "é", "x1", ",", "."]) + rng.choice([" ", "  ", "\n", " \n\t", ""]) for _ in range(500_000))
+    assert len(text) > 2_000_000
+    assert wavelet.tokens(BYTE).texts(pa.array([text]))[0].tolist() == libraries[1].encode(text, add_special_tokens=False).ids
+    ids, _ = bpe.coder(WORD).texts(pa.array([text]))
+    assert np.frombuffer(ids[0].as_py(), "<u4").tolist() == libraries[0].encode(text, add_special_tokens=False).ids
+
+
 ROWS = [(5, "Hello world, it's <|endoftext|> fine"), (2, None), (9, ""), (7, "x  y\n\nz "), (7, "x  y\n\nz "), (None, "no id"), (1, "long " * 3000)]
 
 
