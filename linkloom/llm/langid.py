@@ -17,7 +17,8 @@ elsewhere proportions are of the learned part.
 
 Edge cases: null text, or text with no letter, is ``und`` with score 0 and no languages; without labelled
 rows every document is ``und``; rows labelled null or with null text teach nothing; repeated rows and extra
-columns change nothing; long texts are read whole.
+columns change nothing. Long texts are read whole, in pieces of ``LONG`` characters that end where a word does (a
+word longer than that is cut), piece by piece for every round, so that memory does not grow with them.
 """
 
 from __future__ import annotations
@@ -42,8 +43,11 @@ PENALTY = 6.0
 UNKNOWN = "und"
 #: The weight, in the background, of the languages' mean likelihood (less where the floor leaves less of 1).
 POOLED = 1 / 3
-#: Rounds of expectation-maximisation for the background's proportion.
+#: Rounds of expectation-maximisation: from an even start, and from the leading languages of a set.
 ROUNDS = 6
+SET_ROUNDS = 4
+#: Texts of more characters are gone through in pieces, as many again for more languages than FULL_SLICE.
+LONG = 4 << 20
 
 _letters: np.ndarray | None = None
 
@@ -125,6 +129,77 @@ def em(like: np.ndarray, starts: np.ndarray, counts: np.ndarray, share: np.ndarr
     return share
 
 
+def word_logs(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihoods of every word (words x languages, the background last), and the text each is of."""
+    points, ends = lowered(texts)
+    at, bucket, first = grams(points)
+    heads = np.flatnonzero(first)
+    logs = np.empty((len(heads), table.shape[1]), np.float32)
+    step = max(1000, 500_000 // table.shape[1])
+    for a in range(0, len(heads), step):  # words by words, so that the gathered rows stay small
+        to = heads[a + step] if a + step < len(heads) else len(bucket)
+        logs[a : a + step] = np.add.reduceat(table[bucket[heads[a] : to]], heads[a : a + step] - heads[a], axis=0)
+    return logs, np.searchsorted(ends, at[heads], side="right")
+
+
+def scaled(logs: np.ndarray) -> np.ndarray:
+    """Likelihoods with a maximum of 1 for each word."""
+    return np.maximum(np.exp(logs - logs.max(axis=1, keepdims=True)), np.float32(1e-30))
+
+
+def infer_long(text: str, table: np.ndarray, penalty: float = PENALTY, long: int = LONG) -> tuple[np.ndarray, np.ndarray, float]:
+    """``infer`` of one text, in pieces: the chosen languages' positions, their proportions, the background's."""
+    cuts = [0]
+    while cuts[-1] < len(text):
+        at = min(cuts[-1] + long, len(text))
+        while at < len(text) and at < cuts[-1] + 2 * long and text[at].isalpha():
+            at += 1
+        cuts.append(at)
+
+    def pieces() -> Iterator[np.ndarray]:
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            logs, _ = word_logs([text[a:b]], table)
+            if len(logs):
+                yield logs
+
+    def rounds(share: np.ndarray, of, n: int) -> np.ndarray:
+        for _ in range(n):
+            total = np.zeros(len(share))
+            for logs in pieces():
+                part = of(logs) * share.astype(np.float32)
+                total += (part / part.sum(axis=1, keepdims=True)).sum(axis=0, dtype=np.float64)
+            share = total / n_words
+        return share
+
+    n_langs = table.shape[1] - 1
+    n_words, better = 0, 0.0
+    for logs in pieces():
+        n_words += len(logs)
+        better += float((logs[:, -1] - logs[:, :-1].max(axis=1)).sum(dtype=np.float64))
+    if not n_words:
+        return np.zeros(0, np.int64), np.zeros(0), 1.0
+    unknown = float(rounds(np.full(n_langs + 1, 1 / (n_langs + 1)), scaled, ROUNDS)[-1])
+    if better <= penalty * np.log((1 - unknown) * n_words + 1):
+        unknown = 0.0
+    learned = lambda logs: scaled(logs[:, :-1])
+    share = rounds(np.full(n_langs, 1 / n_langs), learned, ROUNDS)
+    order = np.argsort(-share, kind="stable")
+    best, value, size = None, -np.inf, 0
+    for more in range(1, n_langs + 1):
+        if more > 1 and share[order[more - 1]] <= 0.01:
+            break
+        p = np.zeros(n_langs)
+        p[order[:more]] = np.maximum(share[order[:more]], 1e-6)
+        p = rounds(p / p.sum(), learned, SET_ROUNDS if more > 1 else 0)
+        fit = sum(float(np.log((learned(logs) * p.astype(np.float32)).sum(axis=1, dtype=np.float64)).sum()) for logs in pieces())
+        fit -= penalty * more * np.log(n_words + 1)
+        if fit <= value:
+            break
+        best, value, size = p, fit, more
+    own = np.argsort(-best, kind="stable")[:size]
+    return own, best[own], unknown
+
+
 def infer(texts: list[str | None], table: np.ndarray, penalty: float = PENALTY) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """For each text the chosen languages' positions, largest proportion first, their proportions, and the background's.
 
@@ -133,31 +208,27 @@ def infer(texts: list[str | None], table: np.ndarray, penalty: float = PENALTY)
     """
     n = len(texts)
     picked, shares, unknown = [np.zeros(0, np.int64)] * n, [np.zeros(0)] * n, np.ones(n)
-    points, ends = lowered(texts)
-    at, bucket, first = grams(points)
     n_langs = table.shape[1] - 1
-    if not len(at) or n_langs < 1:
+    if n_langs < 1:
+        return picked, shares, unknown
+    long = [i for i, t in enumerate(texts) if len(t or "") > LONG * FULL_SLICE // max(FULL_SLICE, n_langs)]
+    for i in long:
+        picked[i], shares[i], unknown[i] = infer_long(texts[i], table, penalty, LONG * FULL_SLICE // max(FULL_SLICE, n_langs))
+    if long:
+        texts = [None if i in set(long) else t for i, t in enumerate(texts)]
+    logs, owner = word_logs(texts, table)
+    if not len(logs):
         return picked, shares, unknown
-    heads = np.flatnonzero(first)
-    logs = np.empty((len(heads), n_langs + 1), np.float32)
-    step = max(1000, 4_000_000 // n_langs // 8)
-    for a in range(0, len(heads), step):  # words by words, so that the gathered rows stay small
-        to = heads[a + step] if a + step < len(heads) else len(bucket)
-        logs[a : a + step] = np.add.reduceat(table[bucket[heads[a] : to]], heads[a : a + step] - heads[a], axis=0)
-    owner = np.searchsorted(ends, at[heads], side="right")
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     docs, counts = owner[starts], np.diff(np.append(starts, len(owner)))
 
-    def scaled(logs: np.ndarray) -> np.ndarray:
-        return np.maximum(np.exp(logs - logs.max(axis=1, keepdims=True)), np.float32(1e-30))
-
     everything = np.full((len(docs), n_langs + 1), 1 / (n_langs + 1), np.float32)
     unknown[docs] = em(scaled(logs), starts, counts, everything, ROUNDS)[:, -1]
     better = np.add.reduceat((logs[:, -1] - logs[:, :-1].max(axis=1)).astype(np.float64), starts)
     unknown[docs[better <= penalty * np.log((1 - unknown[docs]) * counts + 1)]] = 0
     like = scaled(logs[:, :-1])
 
-    share = em(like, starts, counts, np.full((len(docs), n_langs), 1 / n_langs, np.float32), 6)
+    share = em(like, starts, counts, np.full((len(docs), n_langs), 1 / n_langs, np.float32), ROUNDS)
     order = np.argsort(-share, axis=1, kind="stable")
     rank = np.argsort(order, axis=1, kind="stable")
 
@@ -169,7 +240,7 @@ def infer(texts: list[str | None], table: np.ndarray, penalty: float = PENALTY)
         begun = np.where(rank[sel] < size, np.maximum(share[sel], 1e-6), 0).astype(np.float32)
         begun /= begun.sum(axis=1, keepdims=True)
         own = like[words]
-        p = em(own, own_starts, own_counts, begun, 4) if size > 1 else begun
+        p = em(own, own_starts, own_counts, begun, SET_ROUNDS) if size > 1 else begun
         fit = np.add.reduceat(np.log((own * np.repeat(p, own_counts, axis=0)).sum(axis=1, dtype=np.float64)), own_starts)
         return p, fit - penalty * size * np.log(own_counts + 1)
 
