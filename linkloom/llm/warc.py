@@ -2,8 +2,10 @@
 
 Of pages with equal payloads of at least ``LEAST`` bytes, the one with the smallest page_id is a response and
 the others are revisits of it; smaller payloads are all responses. Each task cuts its pages into archives of
-bounded size. An archive starts with a skippable frame that holds a dictionary trained on its own records (on
-at most ``SAMPLE_BYTES`` of them); every record follows as a frame of its own, so one can be read by itself.
+bounded size, named by the task's partition, so that a retried task writes the same files again. An archive starts
+with a skippable frame that holds a dictionary trained on its own records (on chunks of ``CHUNK_BYTES``, up to
+``SAMPLE_BYTES`` in all, spread evenly over the whole length of all of them); every record follows as a frame of
+its own, so one can be read by itself.
 
 Edge cases: null html is an empty payload; a null url becomes ``urn:page:<page_id>``; control characters in a
 url are percent-encoded; a null page_id stays null, and is the response only if its payload has no other page;
@@ -23,13 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import fresh_dir, slices, written
+from linkloom.llm.common import fresh_dir, scratch, slices, written
 from linkloom.llm.files import contents, put
 
 LEAST = 100
 ARCHIVE_BYTES = 24 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 4 << 20
+CHUNK_BYTES = 16 << 10
 LEVEL = 3
 #: The magic numbers of the skippable frame that holds the dictionary and of a Zstandard frame.
 SKIPPABLE = (0x184D2A5D).to_bytes(4, "little")
@@ -85,11 +88,11 @@ def record(page_id: int | None, url: str | None, body: bytes, digest: str, refer
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def dictionary(records: list[bytes], size: int = DICTIONARY_BYTES, most: int = SAMPLE_BYTES) -> bytes:
-    """A dictionary from records spread evenly over the archive, up to ``most`` bytes; raw bytes if too few to train on."""
+def dictionary(records: list[bytes], size: int = DICTIONARY_BYTES, most: int = SAMPLE_BYTES, chunk: int = CHUNK_BYTES) -> bytes:
+    """A dictionary from chunks spread evenly over whole records, ``most`` bytes in all; raw bytes if too few to train on."""
+    places = [(r, at) for r in records for at in range(0, len(r), chunk)]
     total = sum(map(len, records))
-    step = max(1, -(-total // most))
-    sample = [r[: size * 2] for r in records[::step]]
+    sample = [r[at : at + chunk] for r, at in places[:: max(1, -(-total // most))]]
     try:
         return zstandard.train_dictionary(min(size, max(256, total // 10)), sample, k=512, d=8).as_bytes()
     except zstandard.ZstdError:
@@ -112,24 +115,28 @@ def records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     data = zstandard.ZstdDecompressor().decompress(content[8 : 8 + size])
     opened = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data))
     with opened.stream_reader(memoryview(content)[8 + size :], read_across_frames=True) as stream:
-        held = b""
+        held, at = b"", 0
+
+        def more(size: int = 1 << 20) -> bool:
+            """Some more bytes, ahead of which what is done with goes."""
+            nonlocal held, at
+            got = stream.read(max(size, 1 << 20))
+            held, at = held[at:] + got, 0
+            return bool(got)
+
         while True:
-            while (end := held.find(b"\r\n\r\n")) < 0:
-                more = stream.read(1 << 20)
-                if not more:
+            while (end := held.find(b"\r\n\r\n", at)) < 0:
+                if not more():
                     if held:
                         raise ValueError("cut off within a record's head")
                     return
-                held += more
-            fields = dict(line.split(": ", 1) for line in held[:end].decode().split("\r\n")[1:])
-            to = end + 4 + int(fields["Content-Length"])
-            while len(held) < to + 4:
-                more = stream.read(1 << 20)
-                if not more:
+            fields = dict(line.split(": ", 1) for line in held[at:end].decode().split("\r\n")[1:])
+            size, at = int(fields["Content-Length"]), end + 4
+            while len(held) < at + size + 4:
+                if not more(at + size + 4 - len(held)):
                     raise ValueError("cut off within a record")
-                held += more
-            yield fields, held[end + 4 : to]
-            held = held[to + 4 :]
+            yield fields, held[at : at + size]
+            at += size + 4
 
 
 def write_archives(pages: DataFrame, directory: str, least: int = LEAST, size: int = ARCHIVE_BYTES) -> DataFrame:
@@ -152,9 +159,10 @@ def write_archives(pages: DataFrame, directory: str, least: int = LEAST, size: i
         if held:
             yield flush()
 
-    rows = classify(pages, least).sortWithinPartitions("page_id", "digest")  # a retried task cuts as the first did
-    rows = rows.select("page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "refers_to")
-    return written(rows.mapInArrow(run, "file string, records long"), "archives")
+    with scratch(pages.sparkSession) as keep:
+        rows = classify(pages, least).sortWithinPartitions("page_id", "digest")  # a retried task cuts as the first did
+        rows = rows.select("page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "refers_to")
+        return keep(written(rows.mapInArrow(run, "file string, records long"), "archives"))
 
 
 def read_archives(archives: DataFrame, directory: str) -> DataFrame:
