@@ -394,6 +394,20 @@ def test_diagnostics_and_coverage(spark, records):
     assert met == everything & {(t, a, b) for a, b, t in map(tuple, truth.collect())}
 
 
+def test_models_are_saved_and_loaded(spark, tmp_path):
+    """Also a learner that saw one label only, and one that replaces it at the same place."""
+    make = lambda label: spark.createDataFrame([[float(i % 2 if f == "name_edit_sim" else 0.5) for f in features.FEATURES] + [label(i)] for i in range(20)], [*features.FEATURES, "label"])
+    cfg = Models(active_model="forest", forest_trees=3, forest_depth=2)
+    for label, expected in ((lambda i: 1, {1.0}), (lambda i: i % 2, None), (lambda i: 0, {0.0})):
+        rows = make(label)
+        scores = lambda model: sorted(r["score"] for r in model.score(rows).collect())
+        made = training.build_model(cfg, 1).fit(rows)
+        made.save(f"{tmp_path}/m")
+        again = scores(training.build_model(cfg, 1).load(f"{tmp_path}/m"))
+        assert again == scores(made) and (expected is None or set(again) == expected)
+    assert made.importances() == {}
+
+
 def test_gbt_score_learns_from_every_feature_with_the_default_models(spark, monkeypatch):
     seen = {}
 
