@@ -254,17 +254,25 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return coded(docs, path, [("ids", "binary", lambda ids, said: ids)])
 
 
+def sha(a: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in a], pa.string())
+
+
+DIGESTS = [
+    ("n_tokens", "long", lambda ids, said: pc.divide(pc.binary_length(ids).cast(pa.int64()), 4)),
+    ("ids_sha256", "string", lambda ids, said: sha(ids)),
+    ("decoded_sha256", "string", lambda ids, said: sha(said)),
+]
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text and of what its ids decode to."""
+    return coded(docs, path, DIGESTS)
 
-    def sha(a: pa.Array) -> pa.Array:
-        return pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in a], pa.string())
 
-    return coded(docs, path, [
-        ("n_tokens", "long", lambda ids, said: pc.divide(pc.binary_length(ids).cast(pa.int64()), 4)),
-        ("ids_sha256", "string", lambda ids, said: sha(ids)),
-        ("decoded_sha256", "string", lambda ids, said: sha(said)),
-    ])
+def encoded(docs: DataFrame, path: str) -> DataFrame:
+    """``digests`` with the ids themselves (binary: little-endian unsigned 32-bit integers)."""
+    return coded(docs, path, [*DIGESTS, ("ids", "binary", lambda ids, said: ids)])
 
 
 def coded(docs: DataFrame, path: str, columns: list) -> DataFrame:
