@@ -6,11 +6,12 @@ and the likeness of two fingerprints is the share of the smallest hashes of thei
 estimate of the Jaccard similarity of the phrase sets, exact for sets of up to ``SIZE`` phrases.
 
 Neighbours in doc_id order meet by range: bounds from quantiles of the ids cut them into buckets, and the
-first document of each bucket is sent to the one before it as well. Texts are shuffled once.
+first document of each bucket is sent to the one before it as well. Rows that share an id, or have none, stand in
+the order of a hash of their texts, and those of a very frequent id are cut into buckets by it. Texts are shuffled once.
 
 Edge cases: null text is empty; an empty text has the empty fingerprint, alike only to itself (1.0); null
-doc_ids come last, equal doc_ids are ordered by text; a single document is its own next one; an empty table
-gives no rows.
+doc_ids come last, equal doc_ids are ordered by the text's hash and text; a single document is its own next one; an
+empty table gives no rows; extra columns are not read. A text and its phrases have to fit a task.
 """
 
 from __future__ import annotations
@@ -123,31 +124,43 @@ def longs(values: list[int | None]) -> Column:
 
 
 def with_buckets(docs: DataFrame, parts: int) -> DataFrame:
-    """__b, __halo, doc_id, text: each row in its bucket of the doc_id order, and the first of a bucket in the one before too.
+    """__b, __halo, __h, doc_id, text: each row in its bucket of the order (doc_id, __h), and the first of a bucket in the one before too.
 
-    The bounds are at most ``parts`` quantiles; the firsts are one row per bucket.
+    The bounds are at most ``parts`` quantiles; an id that more rows share than a bucket should have is a bound by
+    itself, and its rows are dealt by ``__h`` to as many buckets as they fill. The firsts are one row per bucket.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("__h", F.shiftrightunsigned(F.xxhash64("text"), 1))
     probs = [i / parts for i in range(1, parts)]
-    found = rows.agg(F.percentile_approx("doc_id", probs, 10 * parts).alias("q")).first()["q"] if probs else None
-    bounds = sorted(set(found or []))
+    found = rows.agg(F.count("*").alias("n"), F.percentile_approx("doc_id", probs, 10 * parts).alias("q") if probs else F.lit(None).alias("q")).first()
+    bounds = sorted(set(found["q"] or []))
+    # how many buckets the rows of each bound, and those without an id, fill; a bucket's other ids come after its bound
+    wanted = F.broadcast(rows.sparkSession.createDataFrame([(b,) for b in [*bounds, None]], "b long"))
+    counts = {r["doc_id"]: r["count"] for r in rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("b")), "left_semi").groupBy("doc_id").count().collect()}
+    fill = [1, *(max(1, round(counts.get(b, 0) * parts / max(1, found["n"]))) for b in [*bounds, None])]
+    base = [0]
+    for m in fill:
+        base.append(base[-1] + (m + 1 if m > 1 else 1))
     step = max(1, int(len(bounds) ** 0.5))
     below = lambda xs: F.size(F.filter(xs, lambda b: b <= F.col("doc_id")))
     group = F.greatest(below(longs(bounds[::step])) - 1, F.lit(0))
     at = group * step + below(F.slice(longs(bounds), group * step + 1, F.lit(step)))
-    last = len(bounds) + 1  # of the rows without an id
-    rows = rows.withColumn("__b", F.when(F.col("doc_id").isNull(), last).otherwise(at).cast("int"))
-    firsts = {r["__b"]: r["first"] for r in rows.groupBy("__b").agg(F.min("doc_id").alias("first")).collect()}
+    rows = rows.withColumn("__at", F.when(F.col("doc_id").isNull(), len(bounds) + 1).otherwise(at).cast("int"))
+    own, many = F.element_at(longs([None, *bounds, None]), F.col("__at") + 1), F.element_at(longs(fill), F.col("__at") + 1)
+    piece = F.least(F.floor(F.col("__h") / float(1 << 63) * many), many - 1)
+    later = F.when(many <= 1, 0).when((F.col("__at") > 0) & F.col("doc_id").eqNullSafe(own), piece).otherwise(many)
+    rows = rows.withColumn("__b", (F.element_at(longs(base), F.col("__at") + 1) + later).cast("int"))
+    firsts = {r["__b"]: r["first"] for r in rows.groupBy("__b").agg(F.min(F.struct("doc_id", "__h")).alias("first")).collect()}
     order = sorted(firsts)
     before = {b: order[i - 1] for i, b in enumerate(order)}
-    place = F.col("__b") + 1
-    first = F.element_at(longs([firsts.get(b) for b in range(last + 1)]), place)
-    back = F.element_at(longs([before.get(b) for b in range(last + 1)]), place).cast("int")
-    rows = rows.withColumn("__back", F.when(F.col("doc_id").eqNullSafe(first), back))
+    place, of = F.col("__b") + 1, lambda x: longs([x(firsts[b]) if b in firsts else None for b in range(base[-1] + 1)])
+    first = F.col("doc_id").eqNullSafe(F.element_at(of(lambda f: f["doc_id"]), place)) & (F.col("__h") == F.element_at(of(lambda f: f["__h"]), place))
+    back = F.element_at(longs([before.get(b) for b in range(base[-1] + 1)]), place).cast("int")
+    rows = rows.withColumn("__back", F.when(first, back))
     own = F.struct(F.col("__b").alias("b"), F.lit(False).alias("halo"))
     also = F.struct(F.col("__back").alias("b"), F.lit(True).alias("halo"))
     places = F.when(F.col("__back").isNull(), F.array(own)).otherwise(F.array(own, also))
-    return rows.select(F.explode_outer(places).alias("p"), "doc_id", "text").select(F.col("p.b").alias("__b"), F.col("p.halo").alias("__halo"), "doc_id", "text")
+    return rows.select(F.explode_outer(places).alias("p"), "__h", "doc_id", "text").select(F.col("p.b").alias("__b"), F.col("p.halo").alias("__halo"), "__h", "doc_id", "text")
 
 
 def compare(docs: DataFrame) -> DataFrame:
@@ -169,7 +182,7 @@ def compare(docs: DataFrame) -> DataFrame:
             for b, halo, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != bucket:
                     bucket, last, over = b, None, False
-                if over:  # more rows of the doc_id that ends the bucket
+                if over:  # more rows like the one that ends the bucket
                     continue
                 this = Document(doc_id, text)
                 if last is not None:
@@ -179,5 +192,5 @@ def compare(docs: DataFrame) -> DataFrame:
 
     # several buckets a task even out what their hash deals to each
     rows = with_buckets(docs, BUCKETS * parts).repartition(parts, "__b")
-    rows = rows.sortWithinPartitions("__b", "__halo", F.col("doc_id").asc_nulls_last(), "text")
+    rows = rows.sortWithinPartitions("__b", "__halo", F.col("doc_id").asc_nulls_last(), "__h", "text")
     return rows.select("__b", "__halo", "doc_id", "text").mapInArrow(run, schema)

@@ -141,6 +141,7 @@ def test_compare_takes_the_next_document(spark, partitions):
     rng = random.Random(7)
     rows = [(rng.randint(-50, 10**6), "".join(rng.choice("abcd ") for _ in range(rng.randint(0, 200)))) for _ in range(60)]
     rows += [(7, None), (7, "twin"), (None, "no id"), (3, "x" * 20000)]
+    rows += [(i, f"row {j} of an id or of none") for i in (7, None) for j in range(40)]
     docs = spark.createDataFrame([(i, t, True) for i, t in rows], "doc_id long, text string, __halo boolean")
     was = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
@@ -148,7 +149,7 @@ def test_compare_takes_the_next_document(spark, partitions):
         found = lzprint.compare(docs).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", was)
-    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, r[0] or 0, xxhash.xxh64_intdigest(r[1], 42) >> 1, r[1]))
     expected = []
     for (i, t), (_, after) in zip(order, order[1:] + order[:1]):
         cut = len(t) - len(t) // 4
