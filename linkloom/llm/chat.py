@@ -4,7 +4,8 @@ Iterative self-joins double what every node knows of its ancestors: after round
 and the score on the way. Nodes that have reached their root drop out, so a round joins only those still
 climbing, and a chain of n turns takes log2(n) rounds. The leaves of a tree are ranked by the score of their
 path; the paths of the chosen ones are unfolded over the same tables, largest step first, which meets every
-ancestor exactly once. Only ids take part; texts join once, at the end, and are formatted as a sorted stream.
+ancestor exactly once. Only ids take part, in tables of long integers that go once no round reads them; texts join
+once, at the end, and are formatted as a sorted stream. Turns are put in order by their digests, without the texts.
 
 The template marks each turn as ``### role: text </turn>`` and a newline. In texts and roles a backslash, ``#``
 and ``<``, and in roles also ``:``, are written as a backslash and a letter (or a second backslash); so no mark can
@@ -12,7 +13,8 @@ occur in them, and the reverse restores them. The loss mask is the span of each
 
 Edge cases: null texts and roles are empty; null scores count 0; a parent that isn't there makes a root; nodes on
 a cycle have no root and are on no path; equal paths' scores rank by leaf id; turns of a conversation with equal
-numbers are ordered by role and text, null turns first; rows without a conversation id form one of their own.
+numbers are ordered by role and the text's MD5, null turns first; equal rows stay, one after another; rows without a
+conversation id form one of their own, which like any conversation has to fit one task.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import slices, written
+from linkloom.llm.common import drop, scratch, slices, written
 
 #: Fixed values of the template.
 OPEN, MIDDLE, CLOSE = "### ", ": ", " </turn>\n"
@@ -55,57 +58,64 @@ def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     ids = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
     own = nodes.join(ids, nodes["tree"].eqNullSafe(ids["t"]) & (nodes["parent"] == ids["n"]) & (nodes["parent"] != nodes["node"]), "left")
     own = own.select("tree", "node", F.col("n").alias("up"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
-    # score: of the node and its next 2**i - 1 ancestors; steps: how far ``up`` is
-    going = written(own.withColumn("steps", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long")), "step0")
-    rounds, done, total = [], going.where("up IS NULL").select("tree", "node", F.lit(0).cast("long").alias("depth"), "score"), nodes.count()
+    # a round's table has the nodes that still climbed; score: of the node and its next 2**i - 1 ancestors; steps: how far ``up`` is
+    step = written(own.withColumn("steps", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long")), "step0")
+    rounds, through, total = [], step.where("up IS NULL"), nodes.count()
     while 1 << len(rounds) <= 2 * total:
-        open_ = going.where("up IS NOT NULL")
-        if not open_.head(1):
+        climbing = step.where("up IS NOT NULL")
+        if not climbing.head(1):
             break
-        rounds.append(open_.select("tree", "node", "up"))
-        # one step further: from the ancestor on; nodes that are through give what they have
-        ahead = going.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("score").alias("more"), F.col("steps").alias("steps2"))
-        far = open_.join(ahead, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
+        rounds.append(climbing.select("tree", "node", "up"))
+        # one step further: from the ancestor on; ancestors that are through give what they have
+        ahead = climbing.unionByName(through)
+        ahead = ahead.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("score").alias("more"), F.col("steps").alias("steps2"))
+        far = climbing.join(ahead, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
         far = far.select("tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("more")).alias("score"), (F.col("steps") + F.col("steps2")).alias("steps"))
-        far = written(far, f"step{len(rounds)}")
-        done = done.unionByName(far.where("up IS NULL").select("tree", "node", F.col("steps").alias("depth"), "score"))
-        # rows that are through stay for those below them
-        going = written(far.unionByName(going.where("up IS NULL").select("tree", "node", "up", "score", "steps")), f"going{len(rounds)}")
-    return rounds, written(done, "depths")
+        step = written(far, f"step{len(rounds)}")
+        through = through.unionByName(step.where("up IS NULL"))
+    return rounds, through.select("tree", "node", F.col("steps").alias("depth"), "score")
 
 
 def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
-    """tree, branch (1: the best score), leaf, node, depth: a row per node of every chosen root-to-leaf path.
+    """tree, branch (1: the best score), leaf, node, depth: a row per node of every chosen root-to-leaf path, as a written table.
 
     ``top``: branches of a tree to take; all if None.
     """
-    rounds, depths = climb(nodes)
-    parents = nodes.where("parent IS NOT NULL AND parent <> node").select(F.col("tree").alias("t"), F.col("parent").alias("n")).distinct()
-    leaves = depths.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
-    order = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
-    leaves = leaves.withColumn("branch", F.row_number().over(order))
-    if top is not None:
-        leaves = leaves.where(F.col("branch") <= top)
-    found = leaves.select("tree", "branch", F.col("node").alias("leaf"), "node", "depth")
-    for i in range(len(rounds) - 1, -1, -1):
-        up = rounds[i].select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
-        further = found.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
-        further = further.select("tree", "branch", "leaf", F.col("up").alias("node"), (F.col("depth") - (1 << i)).alias("depth"))
-        found = written(found.unionByName(further), f"path{i}")
-    return found
+    with scratch(nodes.sparkSession) as keep:
+        rounds, depths = climb(nodes)
+        parents = nodes.where("parent IS NOT NULL AND parent <> node").select(F.col("tree").alias("t"), F.col("parent").alias("n")).distinct()
+        leaves = depths.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
+        order = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
+        leaves = leaves.withColumn("branch", F.row_number().over(order))
+        if top is not None:
+            leaves = leaves.where(F.col("branch") <= top)
+        found = written(leaves.select("tree", "branch", F.col("node").alias("leaf"), "node", "depth"), "leaves")
+        for i in range(len(rounds) - 1, -1, -1):
+            up = rounds[i].select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
+            further = found.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
+            further = further.select("tree", "branch", "leaf", F.col("up").alias("node"), (F.col("depth") - (1 << i)).alias("depth"))
+            past, found = found, written(found.unionByName(further), f"path{i}")
+            drop(past)
+        return keep(found)
 
 
 # --- formatting -------------------------------------------------------------------------------------
 
 
-def formatted(nodes: DataFrame, top: int | None = None) -> DataFrame:
+def formatted(nodes: DataFrame, top: int | None = None, texts: DataFrame | None = None, on: tuple[str, ...] = ("tree", "node")) -> DataFrame:
     """tree, branch, formatted, spans (start and end, in code points, of each text under the loss mask).
 
-    ``nodes``: tree, node, parent, score, role, text. One row per chosen path; its turns arrive sorted.
+    ``nodes``: tree, node, parent, score, and role and text unless ``texts`` has these, by the columns ``on`` of
+    both. One row per chosen path; its turns arrive sorted.
     """
+    texts = nodes if texts is None else texts
     chosen = paths(nodes.select("tree", "node", "parent", "score"), top)
-    said = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
-    rows = chosen.join(said, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
+    if tuple(on) != ("tree", "node"):
+        own = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"), *[F.col(c).alias(f"on_{c}") for c in on if c != "tree"])
+        chosen = chosen.join(own, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))).drop("t", "n")
+    said = texts.select(*[F.col(c).alias(f"of_{c}") for c in on], *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
+    match = [F.col(c if c in ("tree", "node") else f"on_{c}").eqNullSafe(F.col(f"of_{c}")) for c in on]
+    rows = chosen.join(said, reduce(lambda a, b: a & b, match))
     rows = rows.select("tree", "branch", "depth", "role", "text").repartition("tree", "branch").sortWithinPartitions("tree", "branch", "depth")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,16 +176,29 @@ def read_back(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, branch long")
 
 
-def as_trees(conversations: DataFrame) -> DataFrame:
-    """Conversations (conv_id, turn, role, text) as reply trees: each turn replies to the one before.
+#: What identifies a turn's text beside its conversation, and orders it.
+TURN_KEY = ("turn", "role", "digest")
 
-    A written table, as paths read its ids several times and ordering turns shuffles their texts.
+
+def as_trees(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations (conv_id, turn, role, text) as reply trees, each turn replying to the one before.
+
+    The nodes (tree, node, parent, score and ``TURN_KEY``), a written table without texts, and the texts by
+    ``tree`` and ``TURN_KEY``, once where rows are equal: the arguments ``nodes`` and ``texts`` of ``formatted``.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
-    rows = rows.withColumn("node", F.row_number().over(order).cast("long"))
+    rows = conversations.select(F.col("conv_id").cast("long").alias("tree"), F.col("turn").cast("long"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
+    rows = rows.withColumn("digest", F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long"))  # 60 bits, in the order of the whole
+    order = Window.partitionBy("tree").orderBy("turn", "role", "digest")
+    nodes = rows.drop("text").withColumn("node", F.row_number().over(order).cast("long"))
     parent = F.when(F.col("node") > 1, F.col("node") - 1)
-    return written(rows.select(F.col("conv_id").alias("tree"), "node", parent.alias("parent"), F.lit(1.0).alias("score"), "role", "text"), "nodes")
+    nodes = nodes.select("tree", "node", parent.alias("parent"), F.lit(1.0).alias("score"), *TURN_KEY)
+    return written(nodes, "nodes"), rows.dropDuplicates(["tree", *TURN_KEY])
+
+
+def conversations_formatted(conversations: DataFrame) -> DataFrame:
+    """``formatted`` of conversations as reply trees."""
+    nodes, texts = as_trees(conversations)
+    return formatted(nodes, None, texts, ("tree", *TURN_KEY))
 
 
 #: The same in DuckDB, from the turns themselves.
@@ -184,9 +207,9 @@ WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
            UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
 e AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) + length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g')) + 15 AS chars FROM c)
 SELECT conv_id, count(*)::BIGINT AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, md5(text))) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, md5(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars, 1::BIGINT AS branch
 FROM e GROUP BY conv_id
 """

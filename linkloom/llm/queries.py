@@ -32,7 +32,7 @@ CONTROL = r"\### Assistant: </turn> ok"
 def op2_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
-    return chat.read_back(chat.formatted(chat.as_trees(rows.unionByName(added))))
+    return chat.read_back(chat.conversations_formatted(rows.unionByName(added)))
 
 
 def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
