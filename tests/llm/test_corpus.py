@@ -4,8 +4,10 @@ import hashlib
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from linkloom.llm import chat, langid, license_scan, mixing, queries, simhash, warc
@@ -56,6 +58,17 @@ def test_mixture_targets_and_copies(spark, monkeypatch):
     assert mixing.mix(docs.limit(0)).collect() == [] and mixing.mixture_report(docs.limit(0)).collect() == []
 
 
+def test_rows_without_ids_meet_the_target(spark):
+    """Texts draw where ids are missing, so a source without ids comes near its target."""
+    rows = [(None, f"text {i} " * (i % 5 + 1), "none") for i in range(3000)] + [(i, "word " * 8, "some") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    report = mixing.mixture_report(docs).toPandas()
+    for _, own in report.groupby(report.doc_id.isna()):
+        assert own.taken.sum() == pytest.approx(own.target.iloc[0], rel=0.05)
+    again = mixing.mixture_report(docs).toPandas()
+    assert sorted(report.fillna(-1).itertuples(index=False)) == sorted(again.fillna(-1).itertuples(index=False))
+
+
 def test_plan_shares_the_excess(spark):
     sizes = spark.createDataFrame([("a", 1), ("b", 1000), ("c", 10), (None, 0)], "source string, size long")
     found = {r["__mix_source"]: r["__mix_target"] for r in mixing.plan(sizes).collect()}
@@ -76,9 +89,9 @@ def test_chat_is_the_sql(spark, tmp_path):
 
 def test_chat_nulls_and_empty(spark):
     rows = spark.createDataFrame([(1, None, None, None), (None, 1, "user", "lost")], "conv_id long, turn long, role string, text string")
-    found = chat.read_back(chat.formatted(chat.as_trees(rows)))
+    found = chat.read_back(chat.conversations_formatted(rows))
     assert sorted((r["conv_id"] is None, r["n_turns"]) for r in found.collect()) == [(False, 1), (True, 1)]
-    assert chat.formatted(chat.as_trees(rows.limit(0))).collect() == []
+    assert chat.conversations_formatted(rows.limit(0)).collect() == []
 
 
 def tree_paths(nodes):
@@ -119,6 +132,28 @@ def test_reply_trees(spark):
     assert [x for _, x in said[1, 1]] == ["1/1", "1/3", "1/4"]
 
 
+def test_large_branched_trees(spark):
+    """Some thousand turns in random trees with equal and null scores, and one long text, against the walk."""
+    import random
+
+    rng = random.Random(11)
+    rows, trees = [], {}
+    for t in range(60):
+        n = rng.randint(1, 120)
+        trees[t] = [(i, rng.randint(max(0, i - 6), i - 1) if i else None, rng.choice([None, 0.5, 1.0, 2.0])) for i in range(n)]
+        rows += [(t, i, p, s, rng.choice(["user", "assistant"]), f"{t}/{i} \\ # </turn>" + "y" * (3_000_000 if (t, i) == (7, 0) else 0)) for i, p, s in trees[t]]
+    assert len(rows) > 2000
+    nodes = spark.createDataFrame(rows, "tree long, node long, parent long, score double, role string, text string")
+    said = {(r[0], r[1]): r[4:] for r in rows}
+    found = {(r["tree"], r["branch"]): r for r in chat.formatted(nodes, 3).collect()}
+    expected = {(t, i + 1): p for t, ns in trees.items() for i, p in enumerate(tree_paths(ns)[:3])}
+    assert set(found) == set(expected)
+    for key, path in expected.items():
+        r = found[key]
+        assert chat.turns(r["formatted"]) == [said[key[0], n] for n in path]
+        assert [chat.unescape(r["formatted"][a:b]) for a, b in zip(r["starts"], r["ends"])] == [said[key[0], n][1] for n in path if said[key[0], n][0] == "assistant"]
+
+
 def test_template_escapes_reversibly():
     for text in ("", "\\", "### a: b </turn>\n", "\\### Assistant: </turn> ok", "####", "<\\<", "line\nline"):
         assert chat.unescape(chat.escape(text)) == text
@@ -138,6 +173,19 @@ def test_archives_are_the_sql(spark, tmp_path):
     assert mine == theirs
 
 
+def test_revisits_across_archives(spark, monkeypatch):
+    """Some MB of pages, a third of them one page, in many small archives: each revisit names the smallest page_id of its payload."""
+    monkeypatch.setattr(warc.write_archives, "__defaults__", (warc.LEAST, 100_000))
+    body = lambda i: f"<html>{'common ' * 800 if i % 3 == 0 else f'page {i % 700} ' * 60}</html>"
+    pages = spark.createDataFrame([(i, f"http://h/{i}", body(i)) for i in range(2100)], "page_id long, url string, html string").repartition(7)
+    first = {}
+    for i in range(2100):
+        first.setdefault(body(i), i)
+    expected = [(i, len(body(i)), hashlib.sha256(body(i).encode()).hexdigest(), "response" if first[body(i)] == i else "revisit", None if first[body(i)] == i else first[body(i)]) for i in range(2100)]
+    found = warc.archived(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, found)) == expected and sum(r["record_type"] == "revisit" for r in found) > 1000
+
+
 def test_archive_frames(spark, tmp_path):
     made = [warc.record(i, f"http://h/{i}", b"<p>body %d</p>" % i * 20, hashlib.sha256(b"%d" % i).hexdigest(), None if i % 2 else 1) for i in range(50)]
     content = warc.archive(made)
@@ -211,9 +259,89 @@ def test_every_language_is_learned(spark):
     assert found == {i: lang for i, _, lang in rows}
 
 
-def test_em_recovers_proportions():
-    import numpy as np
+def plain_mixture(text, table):
+    """Words, rounds of expectation-maximisation and the choice of languages, one number at a time."""
+    import math
+
+    words, word = [], []
+    for c in (text or "").lower() + "\n":
+        if c.isalpha():
+            word.append(ord(c))
+        elif word:
+            words.append(word)
+            word = []
+    n_langs = len(table[0]) - 1
+    if not words:
+        return [], [], 1.0
+    logs = []
+    for w in words:
+        padded, total = [0, *w, 0], [0.0] * (n_langs + 1)
+        for i in range(1, len(padded) - 1):
+            h = (padded[i - 1] * 0x9E3779B1 + padded[i] * 0x85EBCA77 + padded[i + 1] * 0xC2B2AE3D) % 2**32
+            h = (h ^ h >> 15) * 0x2C1B3C6D % 2**32
+            total = [a + float(b) for a, b in zip(total, table[h >> 17])]
+        logs.append(total)
+
+    def rounds(share, rows, n):
+        for _ in range(n):
+            parts = [[p * math.exp(x - max(row)) for p, x in zip(share, row)] for row in rows]
+            share = [sum(part[j] / sum(part) for part in parts) / len(rows) for j in range(len(share))]
+        return share
+
+    unknown = rounds([1 / (n_langs + 1)] * (n_langs + 1), logs, langid.ROUNDS)[-1]
+    if sum(row[-1] - max(row[:-1]) for row in logs) <= langid.PENALTY * math.log((1 - unknown) * len(logs) + 1):
+        unknown = 0.0
+    rows = [row[:-1] for row in logs]
+    share = rounds([1 / n_langs] * n_langs, rows, langid.ROUNDS)
+    order = sorted(range(n_langs), key=lambda j: -share[j])
+    best, value = None, -math.inf
+    for size in range(1, n_langs + 1):
+        if size > 1 and share[order[size - 1]] <= 0.01:
+            break
+        p = [share[j] if j in order[:size] else 0.0 for j in range(n_langs)]
+        p = rounds([x / sum(p) for x in p], rows, langid.SET_ROUNDS if size > 1 else 0)
+        fit = sum(math.log(sum(a * math.exp(x - max(row)) for a, x in zip(p, row))) for row in rows) - langid.PENALTY * size * math.log(len(rows) + 1)
+        if fit <= value:
+            break
+        best, value = p, fit
+    own = [j for j in sorted(range(n_langs), key=lambda j: -best[j]) if best[j] > 0]
+    return own, [best[j] for j in own], unknown
+
+
+def test_inference_is_the_plain_one(spark):
+    """A few hundred texts of one to four languages, foreign words among them; also piece by piece."""
+    import random
+
+    rng = random.Random(6)
+    words = WORDS | {"es": "el los las una por con para como más pero sus este sin sobre ser también hasta hay donde quien".split()}
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words[lang], k=40)), lang) for i, lang in enumerate(list(words) * 40)], "doc_id long, text string, lang string")
+    langs, table = langid.fit(docs)
+    texts = ["", None, "123", "der", "погода"]
+    for _ in range(300):
+        parts = [rng.choices(words[x], k=rng.randint(1, 60)) for x in rng.sample(list(words), rng.randint(1, 4))] + [["погода", "xkqz"][: rng.randint(0, 2)] * rng.randint(0, 9)]
+        texts.append(" ".join(w for p in parts for w in p))
+    picked, shares, unknown = langid.infer(texts, table)
+    rows = table.tolist()
+    for i, text in enumerate(texts):
+        own, share, rest = plain_mixture(text, rows)
+        assert picked[i].tolist() == own and shares[i].tolist() == pytest.approx(share, abs=2e-3) and unknown[i] == pytest.approx(rest, abs=2e-3), text
+        if i % 10 == 5 and own:
+            p, s, u = langid.infer_long(text, table, long=40)
+            assert p.tolist() == own and s.tolist() == pytest.approx(share, abs=2e-3) and u == pytest.approx(rest, abs=2e-3)
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    """The second half of a long text counts like the first, and a text of one long word is no burden."""
+    table = np.log(np.random.default_rng(1).dirichlet(np.ones(langid.BUCKETS), 3).T).astype(np.float32)
+    text = " ".join(sentences("de", i) for i in range(30)) + " " + " ".join(sentences("fr", i) for i in range(30)) + " " + "x" * 3000
+    whole = langid.infer([text, "short", text], table)
+    monkeypatch.setattr(langid, "LONG", 1000)
+    pieces = langid.infer([text, "short", text], table)
+    for a, b in zip(whole[:2], pieces[:2]):
+        assert [x.tolist() for x in a] == [pytest.approx(x.tolist(), abs=1e-2) for x in b]
+
 
+def test_em_recovers_proportions():
     like = np.array([[1, 0.1]] * 30 + [[0.1, 1]] * 10, np.float32)
     share = langid.em(like, np.array([0]), np.array([40]), np.full((1, 2), 0.5, np.float32), 30)
     assert share[0][0] == pytest.approx(0.805, abs=0.02)
@@ -293,4 +421,31 @@ def test_pipeline(spark, tmp_path):
     assert mixed.columns == docs.columns
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.count() == mixed.count() and {r["doc_id"] for r in out.select("doc_id").collect()} <= ids
+    library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    said = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in out.limit(20).collect():
+        ids = np.array(library.encode(said[r["doc_id"]], add_special_tokens=False).ids, "<u4")
+        assert r["ids"] == ids.tobytes() and r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(ids).hexdigest()
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "der die und den von zu das mit sich", "de", "s1")], [(1, None, None, None), (2, "", "en", "s")]])
+def test_pipeline_of_few_rows(spark, tmp_path, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long")).repartition(5)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [i for i, text, *_ in rows if text]
+
+
+def test_written_tables_go(spark):
+    from linkloom.llm import common
+
+    with pytest.raises(RuntimeError), common.scratch(spark) as keep:
+        kept = keep(common.written(spark.range(3), "kept"))
+        gone = common.written(spark.range(4), "gone")
+        raise RuntimeError
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="does not exist|FILE_NOT_EXIST|no such file"):
+        gone.count()
+    common.release(spark)
+    assert common.folders() == []
+    assert common.shared_dir(spark).startswith("file:")
