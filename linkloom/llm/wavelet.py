@@ -13,7 +13,7 @@ that it lists, each a Zstandard frame: document ids (null as the smallest 64-bit
 counts, the alphabet, for each level the ones of its blocks, and for each level the parts of its plane.
 
 Edge cases: null text is empty and consists of the end id; null doc_ids come last; equal doc_ids are ordered
-by text; a text longer than a shard is a shard of its own; an empty table gives no file and no rows; extra
+by a hash of the text and the text, and split among tasks by it; a text longer than a shard is a shard of its own; an empty table gives no file and no rows; extra
 columns are not read.
 """
 
@@ -351,7 +351,8 @@ def write_shards(docs: DataFrame, path: str, directory: str, end_id: int = END_I
 
     key = F.col("doc_id").asc_nulls_last()
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = rows.repartitionByRange(key).sortWithinPartitions(key, "text")
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    rows = rows.repartitionByRange(key, "h").sortWithinPartitions(key, "h", "text").drop("h")
     return written(rows.mapInArrow(run, "shard string, tokens long, docs long"), "shards")
 
 
