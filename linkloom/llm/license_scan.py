@@ -13,7 +13,8 @@ template's smallest one cannot hit in any band, and their windows are never buil
 
 Verification counts the template's distinct shingles in windows of twice its length that begin anywhere, and
 takes the best: a copy counts wherever it stands and as long as what is inserted in it stays below its length.
-A match holds at least ``LEAST`` of the template's shingles. The count of all windows comes from one running
+A match holds at least ``LEAST`` of the template's shingles; of templates one of which contains the other both are
+reported. The count of all windows comes from one running
 sum: an occurrence counts in the windows that begin after the same shingle's last occurrence, up to itself.
 
 Edge cases: null, empty and short texts match nothing; a template repeated in a text gives one row; each row of
@@ -64,6 +65,40 @@ TEMPLATES = {
     "the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
     "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list "
     "of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list "
+    "of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.",
+    "bsd-disclaimer": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+    "THE POSSIBILITY OF SUCH DAMAGE.",
+    "mit-disclaimer": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED '
+    "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+    "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "lgpl-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
+    "version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+    "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+    "commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this "
+    "software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the "
+    "benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act "
+    "of relinquishment in perpetuity of all present and future rights to this software under copyright law.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+    "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+    "including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The "
+    "origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this "
+    "software in a product, an acknowledgment in the product documentation would be appreciated but is not required. Altered "
+    "source versions must be plainly marked as such, and must not be misrepresented as being the original software. This notice "
+    "may not be removed or altered from any source distribution.",
 }
 
 WORDS = r"[\p{L}\p{N}]+"
