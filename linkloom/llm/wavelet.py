@@ -60,8 +60,8 @@ class Tokens:
     The splitter never lets a match run from non-white to white space, so a text may be cut there: into pieces
     of leading white space and what follows. Texts whose white space is single spaces and newlines are cut by
     Arrow; others by a pattern; those with the text of a special token go to the library whole. Many pieces are
-    encoded as one text, whose ids are cut again by the bytes that each token stands for. What is known of
-    pieces stays in a cache of bounded size, one flat array of ids for all.
+    encoded as one text, whose ids are cut again by the bytes that each token stands for. What is known of pieces
+    that a batch has more than once stays in a cache of bounded size, one flat array of ids for all.
     """
 
     def __init__(self, path: str):
@@ -84,22 +84,27 @@ class Tokens:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.kept = 0, 0  # of begun and sizes, and of flat: what follows is of the last batch only
         self.begun, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def learn(self, pieces: list[str], n_bytes: np.ndarray | None = None) -> np.ndarray:
+    def learn(self, pieces: list[str], n_bytes: np.ndarray | None = None, once: np.ndarray | None = None) -> np.ndarray:
         """The place of each of these distinct pieces in ``begun`` and ``sizes``; none may end in white space.
 
-        ``n_bytes``: their lengths in UTF-8, if known.
+        ``n_bytes``: their lengths in UTF-8, if known; ``once``: those that are not worth keeping, whose places hold until the next call.
         """
         if len(self.index) > CACHE_PIECES:
             self.forget()
+        n, m = self.kept
+        self.begun, self.sizes, self.flat = self.begun[:n], self.sizes[:n], self.flat[:m]
         at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
-            new = [pieces[i] for i in unknown.tolist()]
+            rare = np.zeros(len(unknown), bool) if once is None else once[unknown]
+            unknown = np.concatenate([unknown[~rare], unknown[rare]])
+            new, stay = [pieces[i] for i in unknown.tolist()], int((~rare).sum())
             size = np.fromiter((len(p.encode()) for p in new), np.int64, len(new)) if n_bytes is None else n_bytes[unknown]
             lists, counts = [], []
             for a in range(0, len(new), TOGETHER):
@@ -107,12 +112,13 @@ class Tokens:
                 ends = np.cumsum(size[a : a + TOGETHER])
                 counts.append(np.diff(np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, side="right"), prepend=0))
                 lists.append(ids)
-            counts, have = np.concatenate(counts), len(self.begun)
-            self.begun = np.concatenate([self.begun, len(self.flat) + np.cumsum(counts) - counts])
+            counts = np.concatenate(counts)
+            self.begun = np.concatenate([self.begun, m + np.cumsum(counts) - counts])
             self.sizes = np.concatenate([self.sizes, counts])
             self.flat = np.concatenate([self.flat, *lists])
-            self.index.update(zip(new, range(have, have + len(new))))
-            at[unknown] = np.arange(have, have + len(new))
+            self.index.update(zip(new[:stay], range(n, n + stay)))
+            self.kept = n + stay, m + int(counts[:stay].sum())
+            at[unknown] = np.arange(n, n + len(new))
         return at
 
     def gathered(self, at: np.ndarray) -> np.ndarray:
@@ -145,7 +151,8 @@ class Tokens:
         pieces = coded.dictionary.filter(pa.array(~odd))
         pieces = pc.if_else(pc.starts_with(pieces, "\n"), pieces, pc.binary_join_element_wise("", pieces, " "))
         place = np.full(len(odd), -1)
-        place[~odd] = self.learn(pieces.to_pylist(), pc.binary_length(pieces).to_numpy().astype(np.int64))
+        once = np.bincount(at, minlength=len(odd)) == 1
+        place[~odd] = self.learn(pieces.to_pylist(), pc.binary_length(pieces).to_numpy().astype(np.int64), once[~odd])
         # of each text's pieces the first is empty: what stood before the added newline
         inner = np.ones(len(at), bool)
         inner[offsets[:-1]] = False
