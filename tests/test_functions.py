@@ -175,7 +175,8 @@ def test_fuzzy_ratios_of_long_strings(monkeypatch):
     a, b = [x for x, _ in pairs], [y for _, y in pairs]
     expected = {name: [PLAIN[name](x, y) for x, y in pairs] for name in ("indel", "sorted", "set")}
     short = [(x[:40], y[:90]) for x, y in pairs[:30]]
-    for cells, lanes in ((fuzzy.CELLS, fuzzy.LANES), (1000, 50)):
+    for cells, lanes, long in ((fuzzy.CELLS, fuzzy.LANES, fuzzy.LONG), (1000, 50, fuzzy.LONG), (fuzzy.CELLS, fuzzy.LANES, 20)):
+        monkeypatch.setattr(fuzzy, "LONG", long)
         monkeypatch.setattr(fuzzy, "CELLS", cells)
         monkeypatch.setattr(fuzzy, "LANES", lanes)
         for name, values in expected.items():
