@@ -433,6 +433,24 @@ def test_gbt_score_learns_from_every_feature_with_the_default_models(spark, monk
     assert rows.where("name_edit_sim > 0 AND name_partial_ratio > 0 AND name_address_combined_sim > 0").count() > 0
 
 
+def test_trader_pairs_are_joined_once_and_only_wanted_ratios_are_computed(spark, monkeypatch):
+    """feat_indel_ratio, feat_partial: after the join of the two sides no pair is shuffled."""
+    from linkloom.functions import fuzzy
+
+    seen = []
+    monkeypatch.setattr(features, "fuzzy_sides", lambda sides: seen.append(sides) or fuzzy.fuzzy_sides(sides))
+    d = "/root/testdata/sf0.001"
+    for name, kind in (("feat_indel_ratio", "indel"), ("feat_partial", "partial")):
+        rows = queries.QUERIES[name](spark, d)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("InMemoryTableScan")[0].count("Join") == 1
+        assert {k for _, _, kinds in seen.pop().values() for k in kinds} == {kind}
+        pairs = rows.select("source1_entity_id", "other_entity_id")
+        a, b = (x.select("entity_id", "country_norm", F.right("norm_name", F.lit(1)).alias("end")).toDF(f"{p}id", "country", "end") for x, p in zip(queries.traders(spark, d), "ab"))
+        expected = a.join(b, ["country", "end"]).select("aid", "bid")
+        assert pairs.count() == expected.count() > 0 and pairs.exceptAll(expected).count() == 0
+
+
 def test_stream_of_arrivals(spark, tmp_path, records):
     s1, _ = records
     schema = f"{RECORD}, source_tag string"
