@@ -207,3 +207,22 @@ def test_fuzzy_known_values(spark):
     df = spark.createDataFrame([r[:2] for r in rows for _ in range(3)], "a string, b string")
     found = [tuple(r["f"]) for r in df.select(fuzzy.fuzzy("a", "b").alias("f")).collect()]
     assert found[::3] == found[1::3] == [pytest.approx(r[2:]) for r in rows]
+
+
+def test_windows_of_pairs_alike_in_size_are_counted_in_bytes(monkeypatch):
+    """feat_partial: the same ratios as lanes of any sizes get, and those of a loop over windows."""
+    import random
+
+    from linkloom.functions import fuzzy
+
+    draw, calls, alike = random.Random(7), [], fuzzy.best_alike
+    monkeypatch.setattr(fuzzy, "best_alike", lambda *x: calls.append(x[1:3]) or alike(*x))
+    for m, n in ((1, 1), (1, 6), (5, 5), (4, 9), (18, 18)):
+        a, b = ([draw.choice("abc") for _ in range(k * 40)] for k in (m, n))
+        a, b = ["".join(a[i * m : i * m + m]) for i in range(40)], ["".join(b[i * n : i * n + n]) for i in range(40)]
+        best = []
+        for x, y in zip(a, b):
+            cut = [(s, w) for s, t in ((x, y), (y, x)) if len(s) <= len(t) for f in range(1 - len(s), len(t)) if (w := t[max(f, 0) : f + len(s)])]
+            best.append(max(2 * fuzzy.long_lcs(s, w) / (len(s) + len(w)) for s, w in cut))
+        assert fuzzy.partial(a, b).tolist() == best and (m, n) in calls
+        assert fuzzy.partial(b, a).tolist() == best
